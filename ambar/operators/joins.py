@@ -50,6 +50,11 @@ def sized_join(
     return salted_join(facts, side, keys, how, rows_col)
 
 
+def sized(side: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``side`` with a broadcast hint if it measures small, as it is otherwise."""
+    return F.broadcast(side) if measured_bytes(side) <= limit_bytes else side
+
+
 def salted_join(
     facts: DataFrame, side: DataFrame, keys: list[str], how: str = "left", rows_col: str | None = None
 ) -> DataFrame:

@@ -13,6 +13,7 @@ from ambar.operators.columns import constant_columns, drop_columns, roles
 from ambar.operators.evaluate import compare_models, roc_auc
 from ambar.operators.prep import TabularPreprocessor, feature_names
 from ambar.operators.running import cumulative_share
+from ambar.session import stored
 
 # Preset name -> GBTClassifier parameter. The L1 and L2 penalties have none.
 PARAMETERS = {
@@ -65,26 +66,21 @@ def score(model: PipelineModel, df: DataFrame, label: str) -> DataFrame:
 
 
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit with the train rows held while the trees iterate over them."""
-    held = train.persist()
-    try:
-        return pipeline.fit(held)
-    finally:
-        held.unpersist()
+    """Fit on the train rows. Several passes read them, so give a stored table, not a long plan."""
+    return pipeline.fit(train)
 
 
 def cross_validate(pipeline: Pipeline, folded: DataFrame, label: str, fold: str = "fold", folds: int = CV_FOLDS) -> DataFrame:
-    """Area under the ROC curve per fold, each scored by a model of the other folds: (fold, roc_auc)."""
-    out = None
-    held = folded.persist()
-    try:
-        for i in range(folds):
-            model = pipeline.fit(held.where(F.col(fold) != i))
-            part = score(model, held.where(F.col(fold) == i), label).select(fold, "label", "score")
-            out = part if out is None else out.unionByName(part)
-        return roc_auc(out, [fold])
-    finally:
-        held.unpersist()
+    """Area under the ROC curve per fold, each scored by a model of the other folds: (fold, roc_auc).
+
+    The folded rows are stored by fold, so each fit prunes its own fold from the scan.
+    """
+    table, out = stored(folded, [fold]), None
+    for i in range(folds):
+        model = pipeline.fit(table.where(F.col(fold) != i))
+        part = score(model, table.where(F.col(fold) == i), label).select(fold, "label", "score")
+        out = part if out is None else out.unionByName(part)
+    return roc_auc(out, [fold])
 
 
 def cv_summary(per_fold: DataFrame) -> DataFrame:

@@ -22,17 +22,19 @@ def class_distribution(df: DataFrame, label: str) -> DataFrame:
 
 
 def periods_per_entity(df: DataFrame, entity: str, period: str) -> DataFrame:
-    """Per entity: number of distinct periods, and the periods in order. One exchange."""
-    return (
-        df.groupBy(entity)
-        .agg(F.array_sort(F.collect_set(period)).alias("periods"))
-        .select(entity, F.size("periods").alias("n_periods"), "periods")
+    """Per entity: number of distinct periods, and the periods in order.
+
+    Distinct pairs first, so an entity brings at most one row per period to the collecting step.
+    """
+    pairs = df.select(entity, period).distinct()
+    return pairs.groupBy(entity).agg(
+        F.count(period).alias("n_periods"), F.array_sort(F.collect_list(period)).alias("periods")
     )
 
 
 def overlap_distribution(df: DataFrame, entity: str, period: str) -> DataFrame:
     """How many entities appear in one, two, … periods."""
-    per_entity = df.groupBy(entity).agg(F.size(F.collect_set(period)).alias("n_periods"))
+    per_entity = df.select(entity, period).distinct().groupBy(entity).agg(F.count(period).alias("n_periods"))
     return with_percent(per_entity.groupBy("n_periods").agg(F.count("*").alias("n"))).orderBy("n_periods")
 
 
@@ -106,9 +108,10 @@ def histogram(df: DataFrame, column: str, bins: int = 30, mark: float | None = N
     With ``mark``, also how many values of the bin lie at or above it.
     """
     values = df.select(F.col(column).cast("double").alias("value")).where(F.col("value").isNotNull())
-    low = values.select(F.min("value")).scalar()
-    width = values.select((F.max("value") - F.min("value")) / bins).scalar()
-    position = F.coalesce(F.try_divide(F.col("value") - low, width), F.lit(0.0))
+    # Two numbers as literals, so the binning pass does not carry subqueries.
+    low, high = values.agg(F.min("value"), F.max("value")).first()
+    low, width = (low, (high - low) / bins) if low is not None else (0.0, 0.0)
+    position = (F.col("value") - low) / width if width > 0 else F.lit(0.0)
     binned = values.select("value", F.least(F.floor(position), F.lit(bins - 1)).cast("int").alias("bin"))
     measures = [F.count("*").alias("n")]
     if mark is not None:
@@ -116,7 +119,9 @@ def histogram(df: DataFrame, column: str, bins: int = 30, mark: float | None = N
     counted = binned.groupBy("bin").agg(*measures)
     edges = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return edges.join(counted, "bin", "left").na.fill(0).select(
-        "bin", (low + F.col("bin") * width).alias("lower"), (low + (F.col("bin") + 1) * width).alias("upper"),
+        "bin",
+        (F.lit(low) + F.col("bin") * width).alias("lower"),
+        (F.lit(low) + (F.col("bin") + 1) * width).alias("upper"),
         *[c for c in counted.columns if c != "bin"],
     )
 

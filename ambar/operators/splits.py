@@ -29,13 +29,16 @@ def with_split(df: DataFrame, period: str, train: int, test: int) -> DataFrame:
 def split_audit(split: DataFrame, entity: str, label: str) -> DataFrame:
     """Per side: rows, positive share, entities, and how many of these also occur on the other side."""
     sides = split.groupBy("split").agg(F.count("*").alias("n_rows"), F.avg(label).alias("positive_share"))
-    seen = split.groupBy(entity).agg(F.collect_set("split").alias("sides"))
-    entities = (
-        seen.select(F.explode("sides").alias("split"), (F.size("sides") > 1).cast("int").alias("shared"))
-        .groupBy("split")
-        .agg(F.count("*").alias("n_entities"), F.sum("shared").alias("n_shared"))
+    seen = split.groupBy(entity).agg(
+        F.max((F.col("split") == "train").cast("int")).alias("in_train"),
+        F.max((F.col("split") == "test").cast("int")).alias("in_test"),
     )
-    return sides.join(entities, "split")
+    both = F.sum(F.col("in_train") * F.col("in_test"))
+    lines = [
+        F.struct(F.lit(side).alias("split"), F.sum(f"in_{side}").alias("n_entities"), both.alias("n_shared"))
+        for side in ("train", "test")
+    ]
+    return sides.join(seen.agg(F.array(*lines).alias("lines")).select(F.inline("lines")), "split")
 
 
 def single_period_entities(

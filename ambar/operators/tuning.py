@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ambar.fixed import SEARCH_DRAWS, SEARCH_FOLDS, SEARCH_SPACE, SEED
 from ambar.operators.models import booster
 from ambar.operators.prep import TabularPreprocessor
+from ambar.session import stored
 
 
 def draw_candidates(space: dict[str, list], draws: int, seed: int) -> list[dict]:
@@ -43,7 +44,7 @@ def random_search(
 
     The preprocessor is fitted once per fold and its vectors are shared by all candidates.
     """
-    candidates = draw_candidates(space, draws, seed)
+    candidates, folded = draw_candidates(space, draws, seed), stored(folded, [fold])
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
     areas: list[list[float]] = [[] for _ in candidates]
     for i in range(folds):
@@ -51,11 +52,13 @@ def random_search(
         fitted = prep.fit(rest)
         train = fitted.transform(rest).select(label, "features").persist()
         held_out = fitted.transform(folded.where(F.col(fold) == i)).select(label, "features").persist()
-        for area, params in zip(areas, candidates):
-            model = booster(preset, label, **{**params, **overrides}).fit(train)
-            area.append(evaluator.evaluate(model.transform(held_out)))
-        train.unpersist()
-        held_out.unpersist()
+        try:
+            for area, params in zip(areas, candidates):
+                model = booster(preset, label, **{**params, **overrides}).fit(train)
+                area.append(evaluator.evaluate(model.transform(held_out)))
+        finally:
+            train.unpersist()
+            held_out.unpersist()
     means = [sum(a) / len(a) for a in areas]
     order = sorted(range(len(means)), key=lambda k: -means[k])
     rows = [

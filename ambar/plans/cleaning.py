@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ambar.fixed import AGGREGATE_FEATURES, ID_COLUMNS, INDICATOR_FEATURES, LEAKY_COLUMNS, PUPIL_FEATURES, TARGET_RATE
 from ambar.functions.scalars import state_code, threshold_label
 from ambar.operators import columns, profile, splits
+from ambar.operators.joins import sized
 from ambar.plans.oracle import hash_sql, near, near_columns, sql
+from ambar.session import materialise
 from ambar.sources import tpch
 
 TRAIN, TEST = tpch.TRAIN_YEAR, tpch.TEST_YEAR
@@ -59,13 +61,13 @@ def drop_ids(spark, sf_dir):
 
 def dedup_columns(spark, sf_dir):
     pupils = tpch.alunos(spark, sf_dir)
-    municipal = tpch.indicadores(pupils)
+    municipal = materialise(tpch.indicadores(pupils))
     same = (
         (pupils["id_municipio"] == municipal["id_municipio"])
         & (pupils["rede"] == municipal["rede"])
         & (pupils["ano"] == municipal["ano"])
     )
-    out = columns.dedup_columns(pupils.join(municipal, same, "left"))
+    out = columns.dedup_columns(pupils.join(sized(municipal), same, "left"))
     return near_columns(out, "media_portugues")
 
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ambar.fixed import AGGREGATE_FEATURES, ID_COLUMNS, PUPIL_FEATURES, TARGET_RATE
 from ambar.functions.scalars import threshold_label
 from ambar.operators import columns, context, models, splits
+from ambar.session import stored
 
 
 class Fitted:
@@ -21,7 +23,9 @@ class Fitted:
 
 
 def _fit(frame: DataFrame, label: str, train: int, test: int, preset: str, not_features: list[str], **overrides) -> Fitted:
-    train_rows, test_rows = splits.temporal_split(frame, "ano", train, test)
+    # Fitting reads the frame many times, so it is built once and stored by edition.
+    table = stored(frame.where(F.col("ano").isin(train, test)), ["ano"])
+    train_rows, test_rows = splits.temporal_split(table, "ano", train, test)
     features = [c for c in train_rows.columns if c != label and c not in not_features]
     pipeline = models.build_pipeline(train_rows, preset, label, features, **overrides)
     return Fitted(models.fit(pipeline, train_rows), train_rows, test_rows, label)

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from ambar.fixed import PUPIL_FEATURES
 from ambar.operators import clusters, evaluate, explain, models, prep, splits, tuning
 from ambar.plans import flows
-from ambar.plans.oracle import near, near_columns, sql
-from ambar.session import checkpoint_dir
+from ambar.plans.oracle import near, near_col, near_columns, sql
+from ambar.session import checkpoint_dir, materialise, stored
 from ambar.sources import tpch
 
 TRAIN, TEST = tpch.TRAIN_YEAR, tpch.TEST_YEAR
@@ -28,9 +28,15 @@ def editions(spark, sf_dir):
 
 
 def _train_test(spark, sf_dir):
+    """Train and test rows as a lazy view; for one pass over a few columns."""
     return splits.temporal_split(editions(spark, sf_dir), "ano", TRAIN, TEST)
 
 
+def _stored_train_test(spark, sf_dir):
+    """Train and test rows of a table stored by edition; for fitting, which reads them many times."""
+    return splits.temporal_split(stored(editions(spark, sf_dir), ["ano"]), "ano", TRAIN, TEST)
+
+
 def impute_median(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
     pupils = tpch.alunos(spark, sf_dir).select("id_registro", "presenca", "caderno")
@@ -60,14 +66,16 @@ def one_hot(spark, sf_dir):
 
 
 def preprocess_vector(spark, sf_dir):
-    train, test = _train_test(spark, sf_dir)
-    model = prep.TabularPreprocessor(["presenca", "caderno"], ["rede"]).fit(train)
-    values = F.transform(vector_to_array("features"), lambda v: F.format_number(v, 6))
-    return model.transform(test).select("id_registro", F.array_join(values, " ").alias("features"))
+    train, test = _stored_train_test(spark, sf_dir)
+    vectors = prep.TabularPreprocessor(["presenca", "caderno"], ["rede"]).fit(train).transform(test)
+    value = vector_to_array("features")
+    return vectors.select(
+        "id_registro", *[near_col(value[i]).alias(name) for i, name in enumerate(prep.feature_names(vectors))]
+    )
 
 
 def feature_names(spark, sf_dir):
-    train, test = _train_test(spark, sf_dir)
+    train, test = _stored_train_test(spark, sf_dir)
     vectors = prep.TabularPreprocessor(["presenca", "caderno"], ["rede"]).fit(train).transform(test)
     names = prep.feature_names(vectors)
     entries = F.posexplode(vector_to_array("features")).alias("position", "value")
@@ -113,13 +121,13 @@ def _leaky_features():
 
 
 def gbt_leaky(spark, sf_dir):
-    train, test = _train_test(spark, sf_dir)
+    train, test = _stored_train_test(spark, sf_dir)
     pipeline = models.build_pipeline(train, "controle_leakage", "alfabetizado", _leaky_features(), **SHORT)
     return evaluate.metrics(models.score(models.fit(pipeline, train), test, "alfabetizado"))
 
 
 def leakage_experiment(spark, sf_dir):
-    train, test = _train_test(spark, sf_dir)
+    train, test = _stored_train_test(spark, sf_dir)
     return models.leakage_experiment(train, test, "alfabetizado", _leaky_features(), ["proficiencia"], **SHORT)
 
 
@@ -140,14 +148,16 @@ def score_reloaded(spark, sf_dir):
 
 
 def cv_auc(spark, sf_dir):
-    train, _ = _train_test(spark, sf_dir)
+    train, _ = _stored_train_test(spark, sf_dir)
     folded = splits.stratified_folds(train, "alfabetizado", "id_registro", folds=3)
     pipeline = models.build_pipeline(train, "individual", "alfabetizado", MODEL_COLUMNS, **SHORT)
-    return models.cross_validate(pipeline, folded, "alfabetizado", folds=3)
+    per_fold = materialise(models.cross_validate(pipeline, folded, "alfabetizado", folds=3))
+    summary = models.cv_summary(per_fold)
+    return per_fold.select("*", *[summary.select(c).scalar().alias(c) for c in ("mean_auc", "two_std")])
 
 
 def random_search(spark, sf_dir):
-    train, _ = _train_test(spark, sf_dir)
+    train, _ = _stored_train_test(spark, sf_dir)
     folded = splits.stratified_folds(train, "alfabetizado", "id_registro", folds=2)
     _, ranked = tuning.random_search(
         folded, "alfabetizado", prep.TabularPreprocessor(["presenca", "caderno"], ["rede"]), draws=2, folds=2, **SHORT
@@ -170,7 +180,7 @@ BACKGROUND, PERMUTATIONS = 64, 2
 
 
 def _attributions(spark, sf_dir):
-    train, test = _train_test(spark, sf_dir)
+    train, test = _stored_train_test(spark, sf_dir)
     pipeline = models.build_pipeline(train, "individual", "alfabetizado", MODEL_COLUMNS, **SHORT)
     model = models.fit(pipeline, train)
     background = explain.background_rows(train, MODEL_COLUMNS, "id_registro", BACKGROUND)
@@ -226,6 +236,21 @@ QUERIES = {
 TRAIN_SQL = f"SELECT * FROM alunos WHERE ano = {TRAIN}"
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
+
+# Imputed with train medians, centred and scaled with train statistics, for the test rows.
+SCALED = {
+    "t": TRAIN_SQL,
+    "med": "SELECT quantile_cont(presenca, 0.5) AS mp, quantile_cont(caderno::DOUBLE, 0.5) AS mc FROM t",
+    "st": """SELECT avg(coalesce(presenca, mp)) AS ap, stddev_pop(coalesce(presenca, mp)) AS sp,
+        avg(coalesce(caderno, mc)) AS ac, stddev_pop(coalesce(caderno, mc)) AS sc FROM t, med""",
+    "v": f"SELECT *, coalesce(presenca, mp) AS p, coalesce(caderno, mc) AS c FROM alunos, med, st WHERE ano = {TEST}",
+}
+ENTRIES = {
+    "presenca": "(p - ap) / sp",
+    "caderno": "(c - ac) / sc",
+    **{f"rede_{v}": f"(rede = '{v}')::INT" for v in SEGMENTS},
+}
+
 ORACLES = {
     "impute_median": sql(
         "alunos", t=TRAIN_SQL,
@@ -246,4 +271,15 @@ ORACLES = {
         "alunos",
         body="SELECT id_registro, " + ", ".join(f"(rede = '{v}')::INT AS rede_{v}" for v in SEGMENTS) + " FROM alunos",
     ),
+    "preprocess_vector": sql(
+        "alunos", **SCALED,
+        body="SELECT id_registro, " + ", ".join(f"{near(v)} AS {c}" for c, v in ENTRIES.items()) + " FROM v",
+    ),
+    "feature_names": sql(
+        "alunos", **SCALED,
+        body=" UNION ALL ".join(
+            f"SELECT {i} AS position, '{c}' AS feature, count(*) FILTER (WHERE {v} <> 0) AS n_nonzero FROM v"
+            for i, (c, v) in enumerate(ENTRIES.items())
+        ),
+    ),
 }

@@ -16,7 +16,7 @@ CONTEXT_COLUMNS = ["id_municipio", "id_escola", "rede", "ano", "presenca"]
 
 def anos_por_aluno(spark, sf_dir):
     out = profile.periods_per_entity(tpch.alunos(spark, sf_dir), "id_aluno", "ano")
-    return out.select("id_aluno", F.col("n_periods").cast("bigint").alias("n_anos"), F.array_join("periods", ",").alias("anos"))
+    return out.select("id_aluno", F.col("n_periods").alias("n_anos"), F.array_join("periods", ",").alias("anos"))
 
 
 def class_distribution(spark, sf_dir):
@@ -24,8 +24,7 @@ def class_distribution(spark, sf_dir):
 
 
 def overlap_distribution(spark, sf_dir):
-    out = profile.overlap_distribution(tpch.alunos(spark, sf_dir), "id_aluno", "ano")
-    return near_columns(out, "pct").withColumn("n_periods", F.col("n_periods").cast("bigint"))
+    return near_columns(profile.overlap_distribution(tpch.alunos(spark, sf_dir), "id_aluno", "ano"), "pct")
 
 
 def overlap_summary(spark, sf_dir):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +51,17 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the checkpoint folder and read it back.
+
+    For wide frames that many passes read (a feature table before training): later passes get column
+    pruning, filter pushdown and, with ``partition_by``, partition pruning.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.partitionBy(*(partition_by or [])).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A small session for tests and the benchmark."""
     return (
