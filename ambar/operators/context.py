@@ -149,12 +149,8 @@ def add_history(
         period, past = ["ano"], indicators.withColumn("ano", F.col("ano") + lag)
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    local = materialise(
-        past.select(
-            "id_municipio", "rede", *period,
-            F.col("taxa_alfabetizacao").alias("taxa_hist"), F.col("media_portugues").alias("media_hist"),
-        ).distinct()
-    )
+    past = materialise(past.select("id_municipio", "rede", *period, "taxa_alfabetizacao", "media_portugues").distinct())
+    local = past.withColumnsRenamed({"taxa_alfabetizacao": "taxa_hist", "media_portugues": "media_hist"})
     state = materialise(state_means(past, ["sigla_uf", "rede", *period]))
     out = df.withColumn("sigla_uf", state_code("id_municipio"))
     out = sized_join(out, local, ["id_municipio", "rede", *period], "left", limit_bytes)

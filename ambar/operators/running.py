@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ambar.functions.scalars import any_null, no_nan
 from ambar.operators.joins import sized_join
 from ambar.session import materialise
 
@@ -50,23 +51,82 @@ def running_totals(df: DataFrame, order: list[Column | str], values: list[str],
     )
 
 
+ACCURACY = 10_000
+
+
+def _bands(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[tuple[float, float]]]:
+    """Per column, disjoint value ranges that hold the wanted ranks, from mergeable quantile summaries.
+
+    A summary is off by at most 1/ACCURACY of the rows; the ranges reach twice as far to each side.
+    """
+    reach = 2 / ACCURACY
+    ends = [q for p in probabilities for q in (max(0.0, p - reach), min(1.0, p + reach))]
+    summaries = [
+        F.percentile_approx(no_nan(F.col(c).cast("double")), ends, ACCURACY).alias(f"c{i}") for i, c in enumerate(columns)
+    ]
+    row, bands = df.agg(*summaries).first(), {}
+    for i, c in enumerate(columns):
+        found: list[tuple[float, float]] = []
+        values = row[f"c{i}"] or []
+        for low, high in sorted(zip(values[::2], values[1::2])):
+            if found and low <= found[-1][1]:
+                found[-1] = (found[-1][0], max(high, found[-1][1]))
+            else:
+                found.append((low, high))
+        bands[c] = found
+    return bands
+
+
+def _segment(value: Column, bands: list[tuple[float, float]] | None) -> Column:
+    """Position of a value among the bands: odd inside band ``segment // 2``, even between bands."""
+    if bands is None:
+        return F.lit(1)
+    out = F.when(F.lit(False), 0)
+    for i, (low, high) in enumerate(bands):
+        out = out.when(value < low, 2 * i).when(value <= high, 2 * i + 1)
+    return out.otherwise(2 * len(bands))
+
+
 def exact_quantiles(
     df: DataFrame, columns: list[str], probabilities: list[float], by: list[str] | None = None
 ) -> DataFrame:
     """Exact interpolated quantiles, all columns in one job: rows (by…, column, n, q0, q1, …).
 
-    Values are counted first, so only distinct values are shuffled and sorted, and no aggregate
-    buffer has to hold a whole column. Missing values are left out.
+    Without groups, a first pass narrows each wanted rank to a thin band of values. The second pass
+    counts values one by one inside the bands and only in bulk between them, so little is shuffled
+    and sorted. A rank that fell outside its band would show as a missing result; then, and with
+    groups, all distinct values are counted. No aggregate buffer ever holds a whole column.
+    Missing values are left out.
     """
-    by = by or []
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    if by:
+        return _counted_quantiles(df, columns, probabilities, by, dict.fromkeys(columns))
+    narrow = materialise(_counted_quantiles(df, columns, probabilities, [], _bands(df, columns, probabilities)))
+    outside = narrow.where(any_null(*[f"q{i}" for i in range(len(probabilities))])).limit(1).count()
+    return _counted_quantiles(df, columns, probabilities, [], dict.fromkeys(columns)) if outside else narrow
+
+
+def _counted_quantiles(
+    df: DataFrame, columns: list[str], probabilities: list[float], by: list[str], bands: dict
+) -> DataFrame:
+    entries = []
+    for c in columns:
+        value = F.col(c).cast("double")
+        segment = _segment(value, bands[c])
+        entries.append(
+            F.struct(
+                F.lit(c).alias("column"),
+                segment.alias("segment"),
+                F.when(segment % 2 == 1, value).alias("value"),
+                (value.isNotNull() & ~F.isnan(value)).alias("known"),
+            )
+        )
     counted = (
-        df.select(*by, F.inline(pairs))
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy(*by, "column", "value")
+        df.select(*by, F.inline(F.array(*entries)))
+        .where("known")
+        .groupBy(*by, "column", "segment", "value")
         .agg(F.count("*").alias("n"))
     )
-    ranked = running_totals(counted, ["value"], ["n"], [*by, "column"])
+    ranked = running_totals(counted, ["segment", "value"], ["n"], [*by, "column"])
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("n_run") - F.col("n")) & (rank < F.col("n_run")), F.col("value")))

@@ -58,7 +58,8 @@ def single_period_entities(
     return sized_join(df, once, [entity], "left_semi", limit_bytes, rows_col="_entity_rows")
 
 
-FOLD_BUCKETS = 1 << 16
+# Hash buckets per shuffle partition, so that a class is cut into even parts for every task.
+BUCKETS_PER_PARTITION = 8
 
 
 def stratified_folds(
@@ -67,22 +68,23 @@ def stratified_folds(
     """Deal the rows of each class over ``folds`` in a random order fixed by seed and unique key.
 
     Fold sizes of a class differ by at most one. The order is that of a hash, so its leading bits cut
-    a class into even buckets: rows are numbered inside buckets, and the bucket counts (at most
-    ``FOLD_BUCKETS`` per class) shift the numbers. Both sides are partitioned alike: one exchange of rows.
+    a class into even buckets (as many as the shuffle has tasks, times ``BUCKETS_PER_PARTITION``): rows
+    are numbered inside buckets, and the bucket counts shift the numbers. One exchange of the rows.
     """
-    order = hash32(key, seed)
-    keyed = df.withColumn("_hash", order).withColumn("_bucket", F.shiftright("_hash", 16).cast("int"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = min(24, (partitions * BUCKETS_PER_PARTITION - 1).bit_length())
+    keyed = df.withColumn("_hash", hash32(key, seed)).withColumn("_bucket", F.shiftright("_hash", 32 - bits).cast("int"))
+    # A label may be missing; inside a struct it still finds its own counts.
+    place = F.struct(label, "_bucket").alias("_place")
     counts = keyed.groupBy(label, "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        F.struct(label, "_bucket").alias("_place"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
-    )
+    starts = materialise(counts.select(place, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
     tie = F.col(key) if isinstance(key, str) else key
-    inside = Window.partitionBy("_place").orderBy("_hash", tie)
-    numbered = keyed.withColumn("_place", F.struct(label, "_bucket")).withColumn("_row", F.row_number().over(inside))
+    inside = Window.partitionBy(label, "_bucket").orderBy("_hash", tie)
+    numbered = keyed.withColumn("_row", F.row_number().over(inside)).withColumn("_place", place)
     position = F.col("_start") + F.col("_row") - 1
     return (
-        numbered.join(starts, "_place")
+        sized_join(numbered, starts, ["_place"], "inner")
         .withColumn(out, F.pmod(position, F.lit(folds)).cast("int"))
         .select(*df.columns, out)
     )

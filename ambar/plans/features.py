@@ -8,6 +8,7 @@ from ambar.fixed import INDICATOR_FEATURES, LEVELS
 from ambar.operators import context
 from ambar.operators.running import with_rank
 from ambar.plans.oracle import near, near_columns, sql
+from ambar.session import materialise
 from ambar.sources import tpch
 
 TARGET_YEARS = [2024, 2030]
@@ -16,8 +17,9 @@ PUPIL_KEYS = ["id_registro", "id_aluno", "id_escola", "id_municipio", "rede", "a
 
 
 def pupils_and_indicators(spark, sf_dir):
+    """Pupils, and the small indicator table computed once."""
     pupils = tpch.alunos(spark, sf_dir)
-    return pupils, tpch.indicadores(pupils)
+    return pupils, materialise(tpch.indicadores(pupils))
 
 
 def slim(spark, sf_dir):

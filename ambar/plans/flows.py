@@ -1,4 +1,8 @@
-"""End-to-end flows: from tables to scored frames, every step a DataFrame or a pyspark.ml stage."""
+"""End-to-end flows: from tables to scored frames, every step a DataFrame or a pyspark.ml stage.
+
+Keyword arguments go on to the fit: ``fraction`` for a stratified sample of the pupils (needs the key
+``id_registro``), ``fill`` for missing categories, and any preset parameter.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,7 @@ from ambar.fixed import AGGREGATE_FEATURES, ID_COLUMNS, PUPIL_FEATURES, TARGET_R
 from ambar.functions.scalars import threshold_label
 from ambar.operators import columns, context, models, splits
 from ambar.session import stored
+from ambar.sources.samples import stratified_sample
 
 
 class Fitted:
@@ -22,7 +27,13 @@ class Fitted:
         return models.score(self.model, self.train if split == "train" else self.test, self.label)
 
 
-def _fit(frame: DataFrame, label: str, train: int, test: int, preset: str, not_features: list[str], **overrides) -> Fitted:
+def _fit(
+    frame: DataFrame, label: str, train: int, test: int, preset: str, not_features: list[str],
+    fraction: float | None = None, **overrides,
+) -> Fitted:
+    """Sample by class if a fraction is given, store the frame by edition, and fit on the train edition."""
+    if fraction is not None:
+        frame = stratified_sample(frame, label, {0: fraction, 1: fraction}, "id_registro")
     # Fitting reads the frame many times, so it is built once and stored by edition.
     table = stored(frame.where(F.col("ano").isin(train, test)), ["ano"])
     train_rows, test_rows = splits.temporal_split(table, "ano", train, test)

@@ -116,6 +116,23 @@ def gbt_historico(spark, sf_dir):
     return _both_splits(flows.history_flow(pupils, municipal, TRAIN, TEST, **SHORT))
 
 
+def model_evolution(spark, sf_dir):
+    """The pupil model, then with history, then with engineered features: metrics on the test edition and gains."""
+    pupils = editions(spark, sf_dir)
+    municipal = tpch.indicadores(tpch.alunos(spark, sf_dir, (TRAIN - 1, TEST)))
+    steps = [
+        ("individual", flows.pupil_flow(pupils, TRAIN, TEST, **SHORT)),
+        ("historico", flows.history_flow(pupils, municipal, TRAIN, TEST, **SHORT)),
+        ("melhorado", flows.engineered_flow(pupils, TRAIN, TEST, **SHORT)),
+    ]
+    return evaluate.compare_models([(name, fitted.scored()) for name, fitted in steps])
+
+
+def sampled_model(spark, sf_dir):
+    """The pupil model fitted on a 15% sample stratified by label."""
+    return _both_splits(flows.pupil_flow(editions(spark, sf_dir), TRAIN, TEST, fraction=0.15, **SHORT))
+
+
 def _leaky_features():
     return [*PUPIL_FEATURES[:-1], "proficiencia"]
 
@@ -196,7 +213,7 @@ def shapley_summary(spark, sf_dir):
 
 
 def _clustered(spark, sf_dir):
-    features = tpch.features_ml(tpch.indicadores(tpch.alunos(spark, sf_dir)))
+    features = materialise(tpch.features_ml(tpch.indicadores(tpch.alunos(spark, sf_dir))))
     return clusters.kmeans(features, starts=3)[1]
 
 
@@ -220,6 +237,8 @@ QUERIES = {
     "gbt_engineered": gbt_engineered,
     "gbt_historico": gbt_historico,
     "gbt_leaky": gbt_leaky,
+    "gbt_individual_sampled": sampled_model,
+    "model_evolution": model_evolution,
     "leakage_experiment": leakage_experiment,
     "scored": scored,
     "score_reloaded": score_reloaded,

@@ -8,6 +8,7 @@ from ambar.fixed import TARGET_RATE
 from ambar.operators import profile
 from ambar.operators.running import cumulative_share
 from ambar.plans.oracle import near, near_columns, sql
+from ambar.session import materialise
 from ambar.sources import tpch
 
 TRAIN, TEST = tpch.TRAIN_YEAR, tpch.TEST_YEAR
@@ -34,7 +35,7 @@ def overlap_summary(spark, sf_dir):
 
 
 def five_number(spark, sf_dir):
-    municipal = tpch.indicadores(tpch.alunos(spark, sf_dir))
+    municipal = materialise(tpch.indicadores(tpch.alunos(spark, sf_dir)))
     return near_columns(profile.five_number(municipal, "taxa_alfabetizacao"), "minimum", "p25", "p50", "p75", "maximum")
 
 
@@ -52,7 +53,7 @@ def cardinality(spark, sf_dir):
 
 
 def histogram30(spark, sf_dir):
-    municipal = tpch.indicadores(tpch.alunos(spark, sf_dir))
+    municipal = materialise(tpch.indicadores(tpch.alunos(spark, sf_dir)))
     return near_columns(profile.histogram(municipal, "taxa_alfabetizacao", 30, TARGET_RATE), "lower", "upper")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ambar.fixed import EXPORT_FRACTIONS, LEVELS
 from ambar.plans.oracle import hash_sql, near, near_columns, sql
-from ambar.session import checkpoint_dir
+from ambar.session import checkpoint_dir, materialise
 from ambar.sources import samples, tpch
 from ambar.sources.tables import table_profile
 
@@ -55,7 +55,7 @@ def sample_by(spark, sf_dir):
 
 def export_manifest(spark, sf_dir):
     pupils = tpch.alunos(spark, sf_dir)
-    municipal = tpch.indicadores(pupils)
+    municipal = materialise(tpch.indicadores(pupils))
     part, municipal_key = EXPORT_FRACTIONS, F.concat_ws("|", "id_municipio", "rede", "ano")
     pupil_part = {0: part["microdados_alunos"], 1: part["microdados_alunos"]}
     frames = {

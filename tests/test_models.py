@@ -161,3 +161,9 @@ def test_flows_hold_out_the_later_edition(spark, sf_dir, editions):
     ids = lambda df: {r["id_aluno"] for r in df.select("id_aluno").collect()}
     assert not ids(fitted.train) & ids(fitted.test)
     assert fitted.scored().count() == fitted.test.count()
+
+
+def test_flow_on_a_stratified_sample(editions):
+    fitted = flows.pupil_flow(editions, 1999, 2000, fraction=0.5, **SHORT)
+    whole = flows.pupil_frame(editions).count()
+    assert 0.3 * whole < fitted.train.count() + fitted.test.count() < 0.7 * whole

@@ -55,3 +55,24 @@ def test_cumulative_share_counts_rows_needed(spark):
     got = [r["cumulative_share"] for r in shares.orderBy("cumulative_share").collect()]
     assert got == pytest.approx([0.5, 0.8, 0.95, 1.0])
     assert needed.first()["n_90"] == 3
+
+
+def test_narrowed_quantiles_equal_counted_ones(spark):
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.normal(size=30000), np.zeros(15000), [np.nan]])
+    df = spark.createDataFrame(pd.DataFrame({"a": values, "b": np.round(values)}))
+    probabilities = [0, 0.01, 0.25, 0.3, 0.5, 0.75, 0.999, 1]
+    got = {r["column"]: r for r in running.exact_quantiles(df, ["a", "b"], probabilities).collect()}
+    for c, v in (("a", values[:-1]), ("b", np.round(values[:-1]))):
+        assert [got[c][f"q{i}"] for i in range(8)] == pytest.approx(list(np.quantile(v, probabilities)), abs=1e-12)
+
+
+def test_rank_outside_its_band_is_counted_in_full(spark, monkeypatch):
+    df = spark.range(101).select(F.col("id").cast("double").alias("a"))
+    monkeypatch.setattr(running, "_bands", lambda *_: {"a": [(0.0, 3.0), (90.0, 95.0)]})
+    assert running.exact_quantiles(df, ["a"], [0.5, 0.91]).first()[:] == ("a", 101, 50.0, 91.0)
+
+
+def test_quantiles_of_an_empty_column(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "a double, b double")
+    assert [tuple(r) for r in running.exact_quantiles(df, ["a", "b"], [0.5]).collect()] == [("b", 2, 2.0)]
