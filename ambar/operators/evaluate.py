@@ -98,7 +98,10 @@ def metrics(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Basic metrics and the area under the ROC curve."""
     basic, area = basic_metrics(scored, by), roc_auc(scored, by)
     if by:
-        return basic.join(area, by)
+        # Joined on a struct, so that a missing group value finds its own area.
+        group = F.struct(*by)
+        areas = area.select(group.alias("_group"), "roc_auc")
+        return basic.withColumn("_group", group).join(areas, "_group", "left").drop("_group")
     return basic.withColumn("roc_auc", area.scalar())
 
 

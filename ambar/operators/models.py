@@ -7,13 +7,14 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ambar.fixed import CV_FOLDS, PRESETS
 from ambar.operators.columns import constant_columns, drop_columns, roles
 from ambar.operators.evaluate import compare_models, roc_auc
 from ambar.operators.prep import TabularPreprocessor, feature_names
 from ambar.operators.running import cumulative_share
-from ambar.session import stored
+from ambar.session import small_frame, stored
 
 # Preset name -> GBTClassifier parameter. The L1 and L2 penalties have none.
 PARAMETERS = {
@@ -105,7 +106,8 @@ def feature_importance(model: PipelineModel, sample: DataFrame, top_n: int | Non
     values = [float(v) for v in model.stages[-1].featureImportances.toArray()]
     if len(names) != len(values):
         names = [f"feature_{i}" for i in range(len(values))]
-    table = sample.sparkSession.createDataFrame(list(zip(names, values)), "feature string, importance double")
+    schema = T.StructType([T.StructField("feature", T.StringType()), T.StructField("importance", T.DoubleType())])
+    table = small_frame(sample.sparkSession, list(zip(names, values)), schema)
     ranked = table.orderBy(F.desc("importance"), "feature")
     return ranked.limit(top_n) if top_n else ranked
 

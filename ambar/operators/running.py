@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ambar.functions.scalars import any_null, no_nan
+from ambar.functions.scalars import no_nan
 from ambar.operators.joins import sized_join
-from ambar.session import materialise
+from ambar.session import materialise, small_frame
 
 
 def _name(c: Column | str) -> Column:
@@ -100,9 +100,11 @@ def exact_quantiles(
     """
     if by:
         return _counted_quantiles(df, columns, probabilities, by, dict.fromkeys(columns))
-    narrow = materialise(_counted_quantiles(df, columns, probabilities, [], _bands(df, columns, probabilities)))
-    outside = narrow.where(any_null(*[f"q{i}" for i in range(len(probabilities))])).limit(1).count()
-    return _counted_quantiles(df, columns, probabilities, [], dict.fromkeys(columns)) if outside else narrow
+    narrow = _counted_quantiles(df, columns, probabilities, [], _bands(df, columns, probabilities))
+    rows = narrow.collect()  # one per column
+    if any(q is None for row in rows for q in row):
+        return _counted_quantiles(df, columns, probabilities, [], dict.fromkeys(columns))
+    return small_frame(df.sparkSession, rows, narrow.schema)
 
 
 def _counted_quantiles(

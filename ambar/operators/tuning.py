@@ -8,11 +8,12 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ambar.fixed import SEARCH_DRAWS, SEARCH_FOLDS, SEARCH_SPACE, SEED
 from ambar.operators.models import booster
 from ambar.operators.prep import TabularPreprocessor
-from ambar.session import stored
+from ambar.session import small_frame, stored
 
 
 def draw_candidates(space: dict[str, list], draws: int, seed: int) -> list[dict]:
@@ -64,8 +65,9 @@ def random_search(
     rows = [
         (rank + 1, means[k], *[float(candidates[k][name]) for name in space]) for rank, k in enumerate(order)
     ]
-    schema = "rank int, mean_auc double, " + ", ".join(f"{name} double" for name in space)
+    fields = [T.StructField("rank", T.IntegerType()), T.StructField("mean_auc", T.DoubleType())]
+    schema = T.StructType(fields + [T.StructField(name, T.DoubleType()) for name in space])
     best = booster(preset, label, **{**candidates[order[0]], **overrides})
     fitted = prep.fit(folded)
     refit = best.fit(fitted.transform(folded).select(label, "features"))
-    return PipelineModel([fitted, refit]), folded.sparkSession.createDataFrame(rows, schema)
+    return PipelineModel([fitted, refit]), small_frame(folded.sparkSession, rows, schema)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Runtime settings the operators rely on. Splitting a hot join key is worth one more exchange.
 ADAPTIVE = {
@@ -62,6 +64,12 @@ def stored(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A few driver-side rows (fitted statistics) as a local relation, without Python workers."""
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(schema.names)}
+    return spark.createDataFrame(pa.table(columns), schema)
+
+
 def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A small session for tests and the benchmark."""
     return (

@@ -84,6 +84,12 @@ def test_metrics_per_group_include_area(spark):
     assert got == {"a": (1.0, 1.0), "b": (0.0, 0.0)}
 
 
+def test_missing_group_keeps_its_metrics(spark):
+    df = frame(spark, [0, 1, 0, 1], [0.1, 0.9, 0.2, 0.8]).withColumn("g", F.when(F.col("score").isin(0.1, 0.9), "a"))
+    got = {r["g"]: r["roc_auc"] for r in evaluate.metrics(df, ["g"]).collect()}
+    assert got == {"a": 1.0, None: 1.0}
+
+
 def test_comparison_gain_is_against_the_first(spark):
     df = frame(spark, [0, 1, 1, 1], [0.4, 0.45, 0.9, 0.9])
     got = {r["model"]: r["gain_accuracy_pp"] for r in evaluate.compare_models([("a", df), ("b", evaluate.apply_cut(df, 0.42))]).collect()}
