@@ -129,7 +129,7 @@ QUERIES = {
     "uf_prefix": uf_prefix,
     "distinct_indicadores": distinct_indicadores,
     "alunos_unicos": alunos_unicos,
-    "temporal_split": temporal_split,
+    "split_temporal": temporal_split,
     "split_audit": split_audit,
     "stratified_folds": stratified_folds,
     "step_counts": step_counts,
@@ -203,7 +203,7 @@ ORACLES = {
         body=f"SELECT * FROM alunos WHERE ano IN ({TRAIN}, {TEST}) AND id_aluno IN (SELECT id_aluno FROM once)",
         once=ONCE_SQL,
     ),
-    "temporal_split": sql(
+    "split_temporal": sql(
         "alunos",
         body=f"""SELECT * EXCLUDE (ano), CASE ano WHEN {TRAIN} THEN 'train' ELSE 'test' END AS split
         FROM alunos WHERE ano IN ({TRAIN}, {TEST})""",

@@ -75,7 +75,8 @@ def history_flow(
 def engineered_frame(pupils: DataFrame) -> DataFrame:
     """Pupil columns with school and network context, powers, deviations and bins.
 
-    The school's literacy rate leaves out the pupil's own label.
+    The school's literacy rate leaves out the pupil's own label. It still needs the labels of the others in
+    the same edition; where these are not known yet, use the past rates of :func:`history_flow`.
     """
     frame = context.network_features(context.school_features(pupil_frame(pupils)))
     frame = context.leave_one_out_rate(frame.drop("escola_taxa_alfabetizacao"))
