@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import string
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ambar.session import prepare, stored
+from ambar.session import checkpoint_dir, prepare
 
 # What counts as a word of a text, for Python and for Spark's and DuckDB's patterns alike.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -90,9 +91,11 @@ class Memo(dict):
         return value
 
 
-def kept_once(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: later readers don't compute it again."""
-    return stored(df)
+def kept_once(df: DataFrame, compression: str = "snappy") -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: later readers don't compute it again."""
+    path = f"{checkpoint_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def flat(arrays: list[np.ndarray], dtype) -> np.ndarray:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from ambar.llm import quality_rules
+from ambar.llm import packing, quality_rules, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op4_token_counts": token_counts.op4_token_counts,
+    "op8_packing": packing.op8_packing,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
