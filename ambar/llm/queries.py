@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from ambar.llm import packing, quality_rules, token_counts
+from ambar.llm import language_id, packing, quality_rules, site_quality, token_counts, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op3_language_id": language_id.op3_language_id,
     "op4_token_counts": token_counts.op4_token_counts,
+    "op7_site_quality": site_quality.op7_site_quality,
     "op8_packing": packing.op8_packing,
 }
 ORACLES = {
