@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ambar.llm import language_id, packing, quality_rules, site_quality, token_counts, toxicity
+from ambar.llm import language_id, near_dup, packing, quality_rules, site_quality, token_counts, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_token_counts": token_counts.op4_token_counts,
     "op7_site_quality": site_quality.op7_site_quality,
     "op8_packing": packing.op8_packing,
+    "op9_near_dup": near_dup.op9_near_dup,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
