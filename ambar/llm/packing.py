@@ -166,8 +166,8 @@ def _encode(path: str, end_id: int):
         end = enc.pack([end_id])
         for batch in batches:
             out = {name: [] for name in ENCODED.names}
-            for doc, source, text in zip(batch.column("doc_id").to_pylist(), batch.column("queue").to_pylist(), texts(batch)):
-                ids = enc.ids_bytes(text) + end
+            for doc, source, ids in zip(batch.column("doc_id").to_pylist(), batch.column("queue").to_pylist(), enc.ids_of(texts(batch))):
+                ids += end
                 n = len(ids) // len(end)
                 for name, value in zip(ENCODED.names, (doc, source, part, seen.get(source, 0), n, ids)):
                     out[name].append(value)

@@ -85,7 +85,7 @@ def _count_whole(path: str):
         enc = encoder(path)
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), pa.array([enc.count(t) for t in texts(batch)], pa.int64())], ["_row", "n_tokens"]
+                [batch.column("_row"), pa.array(enc.counts(texts(batch)), pa.int64())], ["_row", "n_tokens"]
             )
 
     return run
@@ -145,7 +145,7 @@ def count_tokens(
     def with_columns(batches):
         enc = encoder(path)
         for batch in batches:
-            counts = pa.array([enc.count(t) for t in texts(batch)], pa.int64())
+            counts = pa.array(enc.counts(texts(batch)), pa.int64())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], counts], [*keep, "n_tokens"])
 
     near = map_batches(rows.where(short).select(*keep, "text"), with_columns, f"{fields}, n_tokens long")
