@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ambar.llm import language_id, near_dup, packing, quality_rules, site_quality, token_counts, toxicity
+from ambar.llm import decontaminate, language_id, near_dup, packing, quality_rules, site_quality, token_counts, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -12,7 +12,9 @@ QUERIES = {
     "op7_site_quality": site_quality.op7_site_quality,
     "op8_packing": packing.op8_packing,
     "op9_near_dup": near_dup.op9_near_dup,
+    "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op10_decontaminate": decontaminate.ORACLE,
 }
