@@ -103,9 +103,7 @@ def phrase_matches(words: DataFrame, windows: DataFrame, chosen: DataFrame, post
     candidates = sized_join(phrase_candidates(postings, chosen), windows.select("window", "words"), ["window"], "inner")
     # Candidates of one document together: a document has at most as many as anchor postings.
     by_doc = kept_once(candidates.groupBy(*KEY).agg(F.collect_list(F.struct("start", "window", "words")).alias("_found")))
-    by_doc = by_doc.withColumns({"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_none": F.col("doc_id").isNull()}).drop("doc_id")
-    own = words.withColumns({"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_none": F.col("doc_id").isNull()})
-    met = sized_join(own, by_doc, ["_id", "_none", "_text"], "inner")
+    met = sized_join(by_key(words), by_key(by_doc).drop("doc_id"), ["_id", "_none", "_text"], "inner")
     exact = F.filter("_found", lambda f: F.slice(F.col("_words"), f["start"] + 1, F.size(f["words"])) == f["words"])
     rows = met.select(*KEY, F.explode(exact).alias("f"))
     return rows.select(*KEY, F.col("f.window").alias("window"), F.col("f.start").alias("start"), F.size("f.words").alias("length")).distinct()
@@ -130,12 +128,30 @@ def proximity_matches(postings: DataFrame, chosen: DataFrame, slack: int) -> Dat
     return met.unionByName(alone).withColumnRenamed("at", "start").distinct()
 
 
+def all_matches(words: DataFrame, windows: DataFrame) -> DataFrame:
+    """Every exact occurrence of every window, by way of the index; stored."""
+    chosen = anchors(words, windows)
+    terms = kept_once(chosen.groupBy("term").agg(F.max("n").alias("n")))
+    return kept_once(phrase_matches(words, windows, chosen, index(words, terms)))
+
+
+def by_key(df: DataFrame) -> DataFrame:
+    """``df`` with its ``doc_id`` as columns that can be joined on where it is missing, too."""
+    return df.withColumns({"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_none": F.col("doc_id").isNull()})
+
+
+def clean_rows(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` in which no window of ``items`` occurs, as they are."""
+    found = all_matches(keyed(docs), item_windows(items, window)).select(*KEY).distinct()
+    found = kept_once(by_key(found).drop("doc_id"))
+    rows = by_key(docs.withColumn("_text", F.xxhash64("text")))
+    return sized_join(rows, found, ["_id", "_none", "_text"], "left_anti").select(*docs.columns)
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``, ``contaminated``."""
     words, windows = keyed(docs), item_windows(items, window)
-    chosen = anchors(words, windows)
-    terms = kept_once(chosen.groupBy("term").agg(F.max("n").alias("n")))
-    matches = kept_once(phrase_matches(words, windows, chosen, index(words, terms)))
+    matches = all_matches(words, windows)
 
     # Words inside any match, each once: matches sorted by start within a document, gaps counted up to their length.
     covered = F.aggregate(

@@ -205,6 +205,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
 
 
+def first_rows(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component its least doc_id, in one row, as it is."""
+    verdict = kept_once(near_duplicates(docs).where("doc_id IS NOT NULL"))
+    ids = verdict.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+    gone = kept_once(ids.where("NOT kept OR n > 1").select("doc_id"))
+    again = kept_once(ids.where("kept AND n > 1").select("doc_id"))
+    # What goes is less than what stays, and rows without an id stay by themselves.
+    once = sized_join(docs, gone, ["doc_id"], "left_anti")
+    return once.unionByName(sized_join(docs, again, ["doc_id"], "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
+
+
 def op9_near_dup(spark, sf_dir):
     """Components of near-duplicates over all documents."""
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from ambar.llm import decontaminate, language_id, near_dup, packing, quality_rules, site_quality, token_counts, toxicity
 
 QUERIES = {
@@ -13,6 +14,7 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_near_dup": near_dup.op9_near_dup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,

@@ -110,17 +110,17 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, column: str = "quality", fi
     return model
 
 
-def with_evidence(df: DataFrame, model: Evidence) -> DataFrame:
-    """The columns of ``df`` but its text, with ``_logit``."""
-    names = [c for c in df.columns if c != "text"]
+def with_evidence(df: DataFrame, model: Evidence, with_text: bool = False) -> DataFrame:
+    """The columns of ``df``, without its text unless that is asked for, and ``_logit``."""
+    names = [c for c in df.columns if c != "text" or with_text]
 
     def run(batches):
         for batch in batches:
             x = np.array([statistics(t) for t in texts(batch)], float).reshape(-1, len(STATISTICS))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(model.logit(x), pa.float64())], [*names, "_logit"])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields if f.name != "text")
-    return map_batches(df.select(*names, "text"), run, f"{fields}_logit double")
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields if f.name in names)
+    return map_batches(df, run, f"{fields}_logit double")
 
 
 def shrunk(good: Column, n: Column, prior: Column, strength: Column) -> Column:
@@ -159,23 +159,35 @@ def site_posteriors(evidence: DataFrame) -> tuple[DataFrame, float]:
     return joined.select("_host", "_path", "_host_share", shrunk(F.col("good"), F.col("n"), F.col("_host_share"), F.lit(within)).alias("_prior"), "n"), share
 
 
-def quality(df: DataFrame, model: Evidence, host: str = "source", path: str = "lang", cut: float = CUT, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (``doc_id`` unless named), ``evidence``, ``site_share``, ``score`` and ``kept`` of each row.
+def _at_sites(df: DataFrame, host: str, path: str, columns: list[str]) -> DataFrame:
+    site = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in df.columns else F.lit("")
+    return df.select(*columns, site(host).alias("_host"), F.concat_ws("/", site(host), site(path)).alias("_path"))
+
+
+def _scored(evidence: DataFrame, sites: DataFrame, share: float) -> DataFrame:
+    """``evidence`` with ``site_share`` and ``score``: the prior odds in the evidence give way to those of the path."""
+    joined = sized_join(evidence, sites, ["_host", "_path"], "left", rows_col="n")
+    prior = F.greatest(F.least(F.col("_prior"), F.lit(1 - 1e-6)), F.lit(1e-6))
+    score = 1 / (1 + F.exp(-(F.col("_logit") + F.log(prior / (1 - prior)) - float(np.log(share / (1 - share))))))
+    return joined.withColumns({"site_share": F.col("_prior"), "score": score})
+
+
+def quality(df: DataFrame, model: Evidence, host: str = "source", path: str = "lang", cut: float = CUT) -> DataFrame:
+    """``doc_id``, ``evidence``, ``site_share``, ``score`` and ``kept`` of each row.
 
     The text is read once; what is stored and joined is a few numbers per document.
     """
-    keep = ["doc_id"] if keep is None else keep
-    site = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in df.columns else F.lit("")
-    rows = df.select(*keep, site(host).alias("_host"), F.concat_ws("/", site(host), site(path)).alias("_path"), "text")
-    evidence = kept_once(with_evidence(rows, model))
+    evidence = kept_once(with_evidence(_at_sites(df, host, path, ["doc_id", "text"]), model))
     sites, share = site_posteriors(evidence)
-    joined = sized_join(evidence, kept_once(sites), ["_host", "_path"], "left", rows_col="n")
-    odds = lambda p: F.log(p / (1 - p))
-    prior = F.greatest(F.least(F.col("_prior"), F.lit(1 - 1e-6)), F.lit(1e-6))
-    score = 1 / (1 + F.exp(-(F.col("_logit") + odds(prior) - float(np.log(share / (1 - share))))))
-    return joined.select(
-        *keep, (1 / (1 + F.exp(-F.col("_logit")))).alias("evidence"), F.col("_prior").alias("site_share"), score.alias("score"), (score >= cut).alias("kept")
-    )
+    scored = _scored(evidence, kept_once(sites), share)
+    return scored.select("doc_id", (1 / (1 + F.exp(-F.col("_logit")))).alias("evidence"), "site_share", "score", (F.col("score") >= cut).alias("kept"))
+
+
+def good_rows(df: DataFrame, model: Evidence, host: str = "source", path: str = "lang", cut: float = CUT) -> DataFrame:
+    """The rows of ``df`` that :func:`quality` keeps, as they are. Texts are read twice and never shuffled with small site tables."""
+    sites, share = site_posteriors(kept_once(with_evidence(_at_sites(df, host, path, ["text"]), model)))
+    evidence = with_evidence(_at_sites(df, host, path, df.columns), model, with_text=True)
+    return _scored(evidence, kept_once(sites), share).where(F.col("score") >= cut).select(*df.columns)
 
 
 def op7_site_quality(spark, sf_dir):

@@ -280,19 +280,19 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", fit_rows: int
     return Model({features[f]: float(w) for f, w in zip(chosen, weights) if w}, intercept)
 
 
-def score(df: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
-    """``df`` with ``score`` and ``predicted``."""
-    df = df.drop("score", "predicted")
+def score(df: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``df`` with the score of its ``text`` in a column ``name``. Texts stay where they are read."""
+    df = df.drop(name)
     names = df.columns
 
     def run(batches):
         of = model.scorer()
         for batch in batches:
             scores = pa.array([of(t) for t in texts(batch)], pa.float64())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], scores], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], scores], [*names, name])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return map_batches(df, run, f"{fields}, score double").withColumn("predicted", (F.col("score") >= cut).cast("int"))
+    return map_batches(df, run, f"{fields}, `{name}` double")
 
 
 def op2_toxicity(spark, sf_dir):
@@ -301,4 +301,5 @@ def op2_toxicity(spark, sf_dir):
     model = fit(docs, table(spark, sf_dir, "labels"))
     # Texts are not part of the result: score them where they are read.
     held_out = (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out")
-    return score(docs.select("doc_id", held_out, "text"), model).select("doc_id", "held_out", "score", "predicted")
+    out = score(docs.select("doc_id", held_out, "text"), model)
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
