@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from ambar.llm import decontaminate, language_id, near_dup, packing, quality_rules, site_quality, token_counts, toxicity
+from ambar.llm import decontaminate, hmm, language_id, near_dup, packing, quality_rules, site_quality, token_counts, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_language_id": language_id.op3_language_id,
     "op4_token_counts": token_counts.op4_token_counts,
+    "op5_hmm_score": hmm.op5_hmm_score,
     "op7_site_quality": site_quality.op7_site_quality,
     "op8_packing": packing.op8_packing,
     "op9_near_dup": near_dup.op9_near_dup,
