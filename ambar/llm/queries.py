@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from ambar.llm import decontaminate, hmm, language_id, near_dup, packing, quality_rules, site_quality, token_counts, toxicity
+from ambar.llm import decontaminate, hmm, language_id, near_dup, packing, quality_rules, site_quality, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_language_id": language_id.op3_language_id,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_hmm_score": hmm.op5_hmm_score,
+    "op6_warc": warc.op6_warc,
     "op7_site_quality": site_quality.op7_site_quality,
     "op8_packing": packing.op8_packing,
     "op9_near_dup": near_dup.op9_near_dup,
@@ -19,5 +20,6 @@ QUERIES = {
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op6_warc": warc.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
 }
