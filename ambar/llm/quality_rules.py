@@ -116,9 +116,12 @@ def prose_rules(text: str = "text") -> list[Rule]:
     ]
 
 
-def estimate(df: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS, seed: int = 42) -> list[Estimate]:
-    """Seconds and share of rejected rows of each rule alone, on a stored sample of ``sample_rows`` rows."""
-    sample = kept_once(bounded_sample(df, sample_rows, seed))
+def estimate(df: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS, seed: int = 42, features=lambda df: df) -> list[Estimate]:
+    """Seconds and share of rejected rows of each rule alone, on a stored sample of ``sample_rows`` rows.
+
+    ``features`` adds the columns that the rules need; it is applied to the sample only.
+    """
+    sample = kept_once(features(kept_once(bounded_sample(df, sample_rows, seed))))
 
     def timed(fails: Column) -> tuple[float, float]:
         start = time.perf_counter()
@@ -138,19 +141,19 @@ def cascade(rules: list[Rule]) -> Column:
     return out
 
 
-def quality_cascade(df: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS, seed: int = 42) -> DataFrame:
-    """``df`` with ``rejected_by`` (the first failing rule in the estimated order) and ``kept``."""
-    ranked = sorted(estimate(df, rules, sample_rows, seed), key=lambda e: (-e.rank, e.rule.name))
-    df = df.drop("rejected_by", "kept").withColumn("rejected_by", cascade([e.rule for e in ranked]))
+def quality_cascade(df: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS, seed: int = 42, features=lambda df: df) -> DataFrame:
+    """``features(df)`` with ``rejected_by`` (the first failing rule in the estimated order) and ``kept``."""
+    ranked = sorted(estimate(df, rules, sample_rows, seed, features), key=lambda e: (-e.rank, e.rule.name))
+    df = features(df).drop("rejected_by", "kept").withColumn("rejected_by", cascade([e.rule for e in ranked]))
     return df.withColumn("kept", F.col("rejected_by").isNull())
 
 
 def op1_quality_rules(spark, sf_dir):
     """Base counts and the verdict for every document."""
-    docs = base_features(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    base = Rule("base", failed)
-    out = quality_cascade(docs.withColumn("base_failed", failed), [base, *prose_rules()])
+    features = lambda df: base_features(df).withColumn("base_failed", failed)
+    out = quality_cascade(docs, [Rule("base", F.col("base_failed")), *prose_rules()], features=features)
     return out.select("doc_id", *FEATURES, "base_failed", "kept")
 
 
