@@ -40,6 +40,7 @@ MIN_BOUND = 0.55
 LEVELS = (1, 2, 3, 4, 6)
 PREFIXES = (3, 4, 5, 6, 7)
 GROUPS = 12
+DEPENDENT = 0.05  # mutual information, in nats a row, from which two voters count as correlated within a class
 CUT = 0.3
 FLUSH = 300_000
 FOLDS, HELD_OUT = 4, 2
@@ -176,6 +177,30 @@ def _examples(features: list[str]):
     return run
 
 
+def lone_examples(found: list[np.ndarray], label: np.ndarray, features: list[str], chosen: list[int]) -> tuple[list[list[int]], list[float]]:
+    """For each chosen entry a text that has it alone, with the smoothed share of toxic documents that have it.
+
+    Few sampled texts have one entry only, so the classifier would learn what several weigh together but not what
+    each is worth. Shorter forms of an entry go with it, and have no example of their own if most of what has them
+    has the longer form.
+    """
+    kept, count, toxic = set(chosen), Counter(), Counter()
+    for entries, y in zip(found, label):
+        for f in kept.intersection(entries):
+            count[f] += 1
+            toxic[f] += y
+    split = {f: (features[f].partition(":")[2].rpartition("@")) for f in chosen}
+    examples, targets = [], []
+    for f in chosen:
+        text, _, level = split[f]
+        shorter = [g for g in chosen if text.startswith(split[g][0]) and int(split[g][2]) <= int(level)]
+        longer = any(split[g][0].startswith(text) and g not in shorter and split[g][2] == level and count[g] > 0.8 * count[f] for g in chosen)
+        if not longer:
+            examples.append(shorter)
+            targets.append((toxic[f] + 0.5) / (count[f] + 1))
+    return examples, targets
+
+
 def vote_table(found: list[np.ndarray], hits: np.ndarray, label: np.ndarray, features: list[str], chosen: list[int]) -> np.ndarray:
     """A column per voter: the given label, "nothing found", the patterns, the groups of entries."""
     voters = {f: voter_of(features[f]) for f in chosen}
@@ -194,10 +219,9 @@ def fit_label_model(votes: np.ndarray, rounds: int = 25) -> np.ndarray:
     patterns, inverse, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
     v = patterns.astype(np.int64)
     n = v.shape[1]
-    parent = np.full(n, -1)
     q = np.where(v[:, 0] == 1, 0.9, 0.1)
     for step in range(rounds):
-        if step == 3:
+        if step in (0, 5):  # from the start, or copies of one voter would set the course
             parent = _tree(v, counts, q)
         weight = np.stack([counts * (1 - q), counts * q])
         log = np.log(weight.sum(1) + 1.0)
@@ -209,7 +233,7 @@ def fit_label_model(votes: np.ndarray, rounds: int = 25) -> np.ndarray:
                 log[y] += np.log(tally / tally.sum(1, keepdims=True))[up, v[:, i]]
         new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -50, 50)))
         done, q = np.abs(new - q).max() < 1e-5, new
-        if done and step > 3:
+        if done and step > 5:
             break
     return q[inverse.reshape(-1)]
 
@@ -232,7 +256,7 @@ def _tree(v: np.ndarray, counts: np.ndarray, q: np.ndarray) -> np.ndarray:
     parent, inside = np.full(n, -1), {0}
     while len(inside) < n:
         gain, child, up = max((strength[i, j], -j, i) for i in inside for j in range(n) if j not in inside)
-        parent[-child] = up if gain > 0 else -1
+        parent[-child] = up if gain > DEPENDENT * counts.sum() else -1
         inside.add(-child)
     return parent
 
@@ -275,8 +299,9 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", fit_rows: int
     chosen = select(found, label, len(features))
     votes = vote_table(found, np.array(sample["hits"].tolist(), bool).reshape(len(label), -1), label, features, chosen)
     number = {f: i for i, f in enumerate(chosen)}
-    columns = [np.array([number[f] for f in entries if f in number], np.int64) for entries in found]
-    weights, intercept = fit_linear(columns, fit_label_model(votes), len(chosen))
+    alone, targets = lone_examples(found, label, features, chosen)
+    columns = [np.array([number[f] for f in entries if f in number], np.int64) for entries in [*found, *alone, *alone]]
+    weights, intercept = fit_linear(columns, np.concatenate([fit_label_model(votes), targets, targets]), len(chosen))
     return Model({features[f]: float(w) for f, w in zip(chosen, weights) if w}, intercept)
 
 

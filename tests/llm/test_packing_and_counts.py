@@ -22,7 +22,7 @@ def library(path=PATH):
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
-ODD = ["", " ", "a", "It's <|endoftext|>ok<|startoftext|>", "x y z\x85w\x1c!", "é ́ ö", "ΑΣ ΟΔΟΣ. İ", "12 345 ４", "日本語のテキスト", "a\tb\r\nc\x0bd", "!!??...", "don't we'LL I'd", "퟿𝔘𝔫", "ﬁ ﬀ ſ"]
+ODD = ["", " ", "a", "It's <|endoftext|>ok<|startoftext|>", "x y z\x85w\x1c!", "é ́ ö", "ΑΣ ΟΔΟΣ. İ", "12 345 ４", "日本語のテキスト", "a\tb\r\nc\x0bd", "!!??...", "don't we'LL I'd", "퟿𝔘𝔫", "ﬁ ﬀ ſ", "THE,!! Ünö. İ: ½| ²; Σ, x.y ٣% e\u0301. a_b. It's,"]
 
 
 def test_word_by_word_is_what_the_library_gives():
