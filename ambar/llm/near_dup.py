@@ -10,8 +10,9 @@ chunk, the chunk without each one of its symbols: 64 keys, and every pair within
 Exact copies (equal sets) are one node of the graph, whatever their number. Nodes that share a key are joined to
 the smallest node of that key, not to each other; what passes the exact check on the full sets gives first
 components. Only keys whose nodes then still lie in several components are looked at again, and there only pairs
-between components. Nothing that could be a link between different components is left out, and no pairs inside a
-component are listed.
+between components: listed where at most ``LARGE`` nodes share a key; beyond that, nodes tied by such keys form a
+family, which is compared in blocks that give back links but no pairs. Nothing that could be a link between
+different components is left out, and no pairs inside a component are listed.
 
 Defined results: a text that is missing or without words has an empty set, is linked with nothing and kept;
 repeated rows of one doc_id are one document, linked through any of its texts; a missing doc_id is linked with
@@ -36,6 +37,8 @@ MAX_ERRORS, CHUNKS = 23, 12
 ERRORS_IN_CHUNK = MAX_ERRORS // CHUNKS
 assert ERRORS_IN_CHUNK == 1  # what the keys below enumerate
 LANES = SYMBOLS * BITS // 64
+LARGE = 64  # nodes of a key up to which its pairs are listed
+BLOCK_NODES, BLOCK_SHINGLES = 512, 1_000_000  # about what one block of a large family holds on each side
 SIGNATURE = [f"s{i}" for i in range(LANES)]
 
 _random = np.random.default_rng(20240607)
@@ -126,11 +129,14 @@ def may_link(a: str, b: str) -> Column:
     return (100 * F.least(n, m) >= SIMILARITY * F.greatest(n, m)) & (distance(a, b) <= MAX_ERRORS)
 
 
+def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id`` and ``shingles`` of the documents in ``ids``."""
+    return map_batches(sized_join(docs, ids, ["doc_id"], "left_semi"), _shingle_rows, "doc_id long, shingles array<long>")
+
+
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The ``pairs`` (a, b) whose full sets reach the similarity. Sets are made for the documents of pairs only."""
-    ids = kept_once(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    sets = map_batches(sized_join(docs, ids, ["doc_id"], "left_semi"), _shingle_rows, "doc_id long, shingles array<long>")
-    sets = kept_once(sets)
+    sets = kept_once(sets_of(docs, kept_once(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())))
     left, right = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("_sa")), sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("_sb"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("_sa", "_sb"))
@@ -168,18 +174,91 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     stars = kept_once(near(buckets.where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()))
     first = kept_once(verified(stars, docs))
 
-    # Keys whose nodes still lie in several components: pairs between a component and the rest of the key.
-    found = components(first)
-    placed = buckets.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
-    open_keys = kept_once(placed.join(main, "key").join(sign, "node"))
-    x, y = open_keys.where("component != main").alias("x"), open_keys.alias("y")
-    apart = (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & may_link("x", "y"))
-    rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    # Keys whose nodes then still lie in several components.
+    placed = buckets.join(components(first), "node", "left").select("key", "low", "node", F.coalesce("component", "node").alias("component"))
+    several = placed.groupBy("key").agg(F.min("component").alias("_least"), F.max("component").alias("_most"), F.count("*").alias("n")).where("_least < _most")
+    opened = kept_once(placed.join(several.select("key", "n"), "key").join(sign, "node"))
+    large = opened.where(F.col("n") > LARGE)
+    family = kept_once(components(large.where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b"))).withColumnRenamed("component", "family"))
+
+    # Few nodes share a key: its pairs are listed, at most LARGE a node and key.
+    few = opened.where(F.col("n") <= LARGE).join(family, "node", "left")
+    x, y = few.alias("x"), few.alias("y")
+    apart = (F.col("x.component") != F.col("y.component")) & F.coalesce(F.col("x.family") != F.col("y.family"), F.lit(True))
+    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & apart & may_link("x", "y"))
+    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     rest = kept_once(rest.join(stars, ["a", "b"], "left_anti"))
-    return first.unionByName(verified(rest, docs))
+
+    members = kept_once(family.join(opened.select("node", "component", "n_shingles").distinct(), "node"))
+    return first.unionByName(verified(rest, docs)).unionByName(family_links(members, docs))
+
+
+def family_links(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the components of each family as all its links do.
+
+    ``members`` has ``node``, ``family``, ``component``, ``n_shingles``. The nodes outside a family's largest
+    component are held against all of its nodes, in blocks of bounded size that are dealt out over the cluster. A
+    block counts the common shingles of all its pairs as a matrix product and gives back no more links than it
+    has components.
+    """
+    parts = members.groupBy("family", "component").agg(F.count("*").alias("n"))
+    main = parts.groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    rows = members.join(main.select("family", "main"), "family").withColumn("minor", F.col("component") != F.col("main"))
+    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK_NODES), F.ceil(size / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    size = F.col("n_shingles")
+    plan = rows.groupBy("family").agg(
+        blocks(F.count("*"), F.sum(size)).alias("n_all"), blocks(F.count(F.when(F.col("minor"), 1)), F.sum(F.when(F.col("minor"), size))).alias("n_minor")
+    )
+    dealt = kept_once(rows.join(plan, "family"))
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = dealt.where("minor").select("family", "node", "component", own("n_minor").alias("i"), upto("n_all").alias("j"), F.lit(True).alias("left"))
+    right = dealt.select("family", "node", "component", upto("n_minor").alias("i"), own("n_all").alias("j"), F.lit(False).alias("left"))
+    sets = sets_of(docs, kept_once(dealt.select(F.col("node").alias("doc_id")).distinct()))
+    filled = left.unionByName(right).join(sets.withColumnRenamed("doc_id", "node"), "node")
+    return filled.groupBy("family", "i", "j").applyInArrow(_block_links, "a long, b long")
+
+
+def _block_links(block: pa.Table) -> pa.Table:
+    node, component = block.column("node").to_numpy(), block.column("component").to_numpy()
+    sets = [np.asarray(s, np.int64) for s in block.column("shingles").to_numpy()]
+    is_left = np.array(block.column("left").to_pylist(), bool)
+    left, right = np.flatnonzero(is_left), np.flatnonzero(~is_left)
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, place = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    row = np.empty(len(sets), np.int64)
+    row[left], row[right] = np.arange(len(left)), np.arange(len(right))
+    common = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, int(place[-1]) + 1 if len(place) else 0, 4096):
+        a, b = np.searchsorted(place, [start, start + 4096])
+        at, who = place[a:b] - start, owner[a:b]
+        one, other = np.zeros((len(left), 4096), np.float32), np.zeros((len(right), 4096), np.float32)
+        mine = is_left[who]
+        one[row[who[mine]], at[mine]] = 1
+        other[row[who[~mine]], at[~mine]] = 1
+        common += one @ other.T
+    common = common.astype(np.int64)
+    linked = 100 * common >= SIMILARITY * (sizes[left][:, None] + sizes[right][None, :] - common)
+    linked &= component[left][:, None] != component[right][None, :]
+    up = {c: c for c in component.tolist()}
+
+    def root(c):
+        while up[c] != c:
+            up[c] = up[up[c]]
+            c = up[c]
+        return c
+
+    found = []
+    for i, j in zip(*np.nonzero(linked)):
+        a, b = left[i], right[j]
+        ra, rb = root(int(component[a])), root(int(component[b]))
+        if ra != rb:
+            up[max(ra, rb)] = min(ra, rb)
+            found.append((min(node[a], node[b]), max(node[a], node[b])))
+    return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -76,6 +76,13 @@ def test_drifting_family_and_edge_rows(spark):
     assert len(got) == len(rows) and all(r["kept"] == (want[r["doc_id"]] == r["doc_id"]) for r in got)
 
 
+def test_large_families_in_small_blocks(spark, monkeypatch):
+    """Everything through the blocks, several a family."""
+    monkeypatch.setattr(near_dup, "LARGE", 3)
+    monkeypatch.setattr(near_dup, "BLOCK_NODES", 20)
+    test_drifting_family_and_edge_rows(spark)
+
+
 def test_missing_ids_and_empty_tables(spark):
     docs = setup(spark).createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (5, "a b c d e f"), (7, "a b c d e f"), (7, "q r s t u v"), (9, "q r s t u v")], "doc_id long, text string")
     got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in near_dup.near_duplicates(docs).collect()), key=str)
