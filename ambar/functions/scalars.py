@@ -66,8 +66,10 @@ def no_nan(value: str | Column) -> Column:
 
 
 def hash32(key: str | Column, seed: int) -> Column:
-    """A uniform number in [0, 2^32) fixed by seed and key, whatever the partitioning or the engine."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), _col(key).cast("string")))
+    """A uniform number in [0, 2^32) fixed by seed and key, whatever the partitioning or the engine.
+
+    Rows without a key share the number of the empty key."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(_col(key).cast("string"), F.lit(""))))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 

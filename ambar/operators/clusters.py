@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.sql import DataFrame
@@ -12,15 +14,15 @@ from ambar.operators.prep import TabularPreprocessor
 
 
 def kmeans(
-    df: DataFrame, columns: list[str] = CLUSTER_FEATURES, k: int = 5, seed: int = SEED, starts: int = 10
+    df: DataFrame, columns: list[str] = CLUSTER_FEATURES, k: int = 5, seed: int = SEED, starts: int = 10, parallelism: int = 5
 ) -> tuple[PipelineModel, DataFrame]:
     """Best of ``starts`` runs by within-cluster cost; returns the model and ``df`` with ``cluster``."""
     prep = TabularPreprocessor(columns, [], output="features").fit(df)
     vectors = prep.transform(df).persist()
     try:
-        runs = [
-            KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(vectors) for i in range(starts)
-        ]
+        fit = lambda i: KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(vectors)
+        with ThreadPool(parallelism) as pool:
+            runs = pool.map(fit, range(starts))
     finally:
         vectors.unpersist()
     best = min(runs, key=lambda m: m.summary.trainingCost)

@@ -66,6 +66,16 @@ def feature_roles(df: DataFrame, categorical: list[str] | None = None) -> DataFr
 
 
 def constant_columns(df: DataFrame, columns: list[str]) -> list[str]:
-    """Columns with at most one distinct value, found in one pass; they carry nothing for a model."""
-    row = df.agg(*[F.coalesce(F.min(c) == F.max(c), F.lit(True)).alias(c) for c in columns]).first()
+    """Columns with at most one distinct value, found in one pass; they carry nothing for a model.
+
+    In a text column a missing value becomes a category of its own, so one value and some missing are two. A
+    missing number is filled with the median.
+    """
+    kinds = dict(df.dtypes)
+
+    def constant(c: str):
+        one = F.coalesce(F.min(c) == F.max(c), F.lit(True))
+        return one & (F.count(c).isin(0) | (F.count(c) == F.count("*"))) if kinds[c] == "string" else one
+
+    row = df.agg(*[constant(c).alias(c) for c in columns]).first()
     return [c for c in columns if row[c]]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ambar.fixed import SEED
 from ambar.functions.scalars import hash32
+from ambar.session import materialise
 
 
 def _draw(key: str, *parts: Column) -> Column:
@@ -20,7 +21,7 @@ def background_rows(train: DataFrame, features: list[str], key: str, n: int, see
     drawn = train.withColumn("_hash", hash32(key, seed)).orderBy("_hash", key).limit(n)
     # At most n rows remain, so one task may number them.
     number = F.row_number().over(Window.orderBy("_hash", key)) - 1
-    return drawn.select(number.cast("int").alias("_background"), *[F.col(c).alias(f"_b_{c}") for c in features])
+    return materialise(drawn.select(number.cast("int").alias("_background"), *[F.col(c).alias(f"_b_{c}") for c in features]))
 
 
 def shapley_paths(
@@ -29,6 +30,10 @@ def shapley_paths(
 ) -> DataFrame:
     """The mixed rows to score: along each drawn feature order, one more feature at a time is taken
     from the row instead of its background row. Rows × permutations × (features + 1)."""
+    # There may be fewer rows to draw from than were asked for.
+    n_background = min(n_background, background.count())
+    if n_background < 1:
+        raise ValueError("no background rows to compare with")
     perm = F.col("_perm")
     order = F.transform(
         F.array_sort(

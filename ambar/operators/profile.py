@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ambar.functions.scalars import share
+from ambar.functions.scalars import share, no_nan
 from ambar.operators.running import exact_quantiles
 
 
@@ -81,9 +81,10 @@ def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def null_audit(df: DataFrame) -> DataFrame:
-    """Columns with missing values and how many, most first. One pass for all columns."""
+    """Columns with missing values (NULL or NaN) and how many, most first. One pass for all columns."""
+    missing = lambda c, kind: F.col(c).isNull() | F.isnan(c) if kind in ("double", "float") else F.col(c).isNull()
     rows = [
-        F.struct(F.lit(c).alias("column"), F.count(F.when(F.col(c).isNull(), 1)).alias("n_missing")) for c in df.columns
+        F.struct(F.lit(c).alias("column"), F.count(F.when(missing(c, kind), 1)).alias("n_missing")) for c, kind in df.dtypes
     ]
     return (
         df.agg(F.array(*rows).alias("rows"))
@@ -107,12 +108,12 @@ def histogram(df: DataFrame, column: str, bins: int = 30, mark: float | None = N
 
     With ``mark``, also how many values of the bin lie at or above it.
     """
-    values = df.select(F.col(column).cast("double").alias("value")).where(F.col("value").isNotNull())
+    values = df.select(no_nan(F.col(column).cast("double")).alias("value")).where(F.col("value").isNotNull())
     # Two numbers as literals, so the binning pass does not carry subqueries.
     low, high = values.agg(F.min("value"), F.max("value")).first()
     low, width = (low, (high - low) / bins) if low is not None else (0.0, 0.0)
     position = (F.col("value") - low) / width if width > 0 else F.lit(0.0)
-    binned = values.select("value", F.least(F.floor(position), F.lit(bins - 1)).cast("int").alias("bin"))
+    binned = values.select("value", F.greatest(F.least(F.floor(position), F.lit(bins - 1)), F.lit(0)).cast("int").alias("bin"))
     measures = [F.count("*").alias("n")]
     if mark is not None:
         measures.append(F.count(F.when(F.col("value") >= mark, 1)).alias("n_at_or_above"))

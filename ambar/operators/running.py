@@ -146,7 +146,12 @@ def _counted_quantiles(
 
 
 def with_rank(df: DataFrame, value: str, out: str = "rank", descending: bool = False) -> DataFrame:
-    """Competition rank (ties share the best rank) over the whole table. Missing values rank last."""
+    """Competition rank (ties share the best rank) over the whole table. Missing values rank last.
+
+    ``df`` is computed once: ranks are found by value, and a value that came out differently the second time would
+    find none.
+    """
+    df = materialise(df)
     counted = df.groupBy(value).agg(F.count("*").alias("n"))
     order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
     ranks = materialise(

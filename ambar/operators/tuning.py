@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -29,6 +30,10 @@ def draw_candidates(space: dict[str, list], draws: int, seed: int) -> list[dict]
     return seen
 
 
+# Drawn by the reference space but without effect here: the booster has no such penalties.
+NOT_APPLIED = ("reg_alpha", "reg_lambda")
+
+
 def random_search(
     folded: DataFrame,
     label: str,
@@ -39,12 +44,15 @@ def random_search(
     folds: int = SEARCH_FOLDS,
     fold: str = "fold",
     seed: int = SEED,
+    parallelism: int = 4,
     **overrides,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Best model refitted on all rows, and the candidates ranked by mean AUC over folds.
+    """Best model refitted on all rows, and the candidates ranked by mean AUC over folds, as they were fitted.
 
-    The preprocessor is fitted once per fold and its vectors are shared by all candidates.
+    Draws are distinct in the parameters that have an effect and that ``overrides`` leaves open. The preprocessor
+    is fitted once per fold and its vectors are shared by all candidates, which are fitted ``parallelism`` at a time.
     """
+    space = {name: options for name, options in space.items() if name not in NOT_APPLIED and name not in overrides}
     candidates, folded = draw_candidates(space, draws, seed), stored(folded, [fold])
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
     areas: list[list[float]] = [[] for _ in candidates]
@@ -54,19 +62,25 @@ def random_search(
         train = fitted.transform(rest).select(label, "features").persist()
         held_out = fitted.transform(folded.where(F.col(fold) == i)).select(label, "features").persist()
         try:
-            for area, params in zip(areas, candidates):
+
+            def area_of(params: dict) -> float:
                 model = booster(preset, label, **{**params, **overrides}).fit(train)
-                area.append(evaluator.evaluate(model.transform(held_out)))
+                return evaluator.evaluate(model.transform(held_out))
+
+            with ThreadPool(parallelism) as pool:
+                for area, found in zip(areas, pool.map(area_of, candidates)):
+                    area.append(found)
         finally:
             train.unpersist()
             held_out.unpersist()
     means = [sum(a) / len(a) for a in areas]
     order = sorted(range(len(means)), key=lambda k: -means[k])
+    names = [*space, *overrides]
     rows = [
-        (rank + 1, means[k], *[float(candidates[k][name]) for name in space]) for rank, k in enumerate(order)
+        (rank + 1, means[k], *[float({**candidates[k], **overrides}[name]) for name in names]) for rank, k in enumerate(order)
     ]
     fields = [T.StructField("rank", T.IntegerType()), T.StructField("mean_auc", T.DoubleType())]
-    schema = T.StructType(fields + [T.StructField(name, T.DoubleType()) for name in space])
+    schema = T.StructType(fields + [T.StructField(name, T.DoubleType()) for name in names])
     best = booster(preset, label, **{**candidates[order[0]], **overrides})
     fitted = prep.fit(folded)
     refit = best.fit(fitted.transform(folded).select(label, "features"))

@@ -31,12 +31,12 @@ def _fit(
     frame: DataFrame, label: str, train: int, test: int, preset: str, not_features: list[str],
     fraction: float | None = None, **overrides,
 ) -> Fitted:
-    """Sample by class if a fraction is given, store the frame by edition, and fit on the train edition."""
-    if fraction is not None:
-        frame = stratified_sample(frame, label, {0: fraction, 1: fraction}, "id_registro")
+    """Store the frame by edition and fit on the train edition, on a sample by class of it if a fraction is given."""
     # Fitting reads the frame many times, so it is built once and stored by edition.
     table = stored(frame.where(F.col("ano").isin(train, test)), ["ano"])
     train_rows, test_rows = splits.temporal_split(table, "ano", train, test)
+    if fraction is not None:  # of the rows to fit only: all test rows stay
+        train_rows = stored(stratified_sample(train_rows, label, {0: fraction, 1: fraction}, "id_registro"))
     features = [c for c in train_rows.columns if c != label and c not in not_features]
     pipeline = models.build_pipeline(train_rows, preset, label, features, **overrides)
     return Fitted(models.fit(pipeline, train_rows), train_rows, test_rows, label)

@@ -1,7 +1,4 @@
-"""Queries over preprocessing, models, validation, attribution and clustering.
-
-The presets' tree counts are meant for full training runs; here they are overridden to keep a check short.
-"""
+"""Queries over preprocessing, models, validation, attribution and clustering. Presets are fitted as they stand."""
 
 from __future__ import annotations
 
@@ -19,7 +16,8 @@ from ambar.sources import tpch
 
 TRAIN, TEST = tpch.TRAIN_YEAR, tpch.TEST_YEAR
 EDITIONS = (TRAIN, TEST)
-SHORT = {"n_estimators": 5, "max_depth": 3}
+# The search's 30 draws and 3 folds are its defaults; this query makes a smaller search of full-size fits.
+QUERY_DRAWS, QUERY_FOLDS = 2, 2
 MODEL_COLUMNS = ["presenca", "caderno", "rede"]
 
 
@@ -92,45 +90,64 @@ def _both_splits(fitted: flows.Fitted):
     return evaluate.metrics(both, ["split"])
 
 
+_FITTED: dict[tuple, object] = {}
+
+
+def once(make):
+    """Several queries read one fitted model: it is fitted once per session and data."""
+
+    def fitted(spark, sf_dir):
+        key = (spark.sparkContext.applicationId, sf_dir, make.__name__)
+        if key not in _FITTED:
+            _FITTED[key] = make(spark, sf_dir)
+        return _FITTED[key]
+
+    return fitted
+
+
 def gbt_agregado(spark, sf_dir):
     features = tpch.features_ml(tpch.indicadores(editions(spark, sf_dir)))
-    return _both_splits(flows.aggregate_flow(features, TRAIN, TEST, **SHORT))
+    return _both_splits(flows.aggregate_flow(features, TRAIN, TEST))
 
 
+@once
 def pupil_model(spark, sf_dir) -> flows.Fitted:
-    return flows.pupil_flow(editions(spark, sf_dir), TRAIN, TEST, **SHORT)
+    return flows.pupil_flow(editions(spark, sf_dir), TRAIN, TEST)
 
 
 def gbt_individual(spark, sf_dir):
     return _both_splits(pupil_model(spark, sf_dir))
 
 
-def gbt_engineered(spark, sf_dir):
-    return _both_splits(flows.engineered_flow(editions(spark, sf_dir), TRAIN, TEST, **SHORT))
+@once
+def engineered_model(spark, sf_dir) -> flows.Fitted:
+    return flows.engineered_flow(editions(spark, sf_dir), TRAIN, TEST)
 
 
-def gbt_historico(spark, sf_dir):
-    pupils = editions(spark, sf_dir)
+@once
+def history_model(spark, sf_dir) -> flows.Fitted:
     # The lag reaches one edition further back than the pupils.
     municipal = tpch.indicadores(tpch.alunos(spark, sf_dir, (TRAIN - 1, TEST)))
-    return _both_splits(flows.history_flow(pupils, municipal, TRAIN, TEST, **SHORT))
+    return flows.history_flow(editions(spark, sf_dir), municipal, TRAIN, TEST)
+
+
+def gbt_engineered(spark, sf_dir):
+    return _both_splits(engineered_model(spark, sf_dir))
+
+
+def gbt_historico(spark, sf_dir):
+    return _both_splits(history_model(spark, sf_dir))
 
 
 def model_evolution(spark, sf_dir):
     """The pupil model, then with history, then with engineered features: metrics on the test edition and gains."""
-    pupils = editions(spark, sf_dir)
-    municipal = tpch.indicadores(tpch.alunos(spark, sf_dir, (TRAIN - 1, TEST)))
-    steps = [
-        ("individual", flows.pupil_flow(pupils, TRAIN, TEST, **SHORT)),
-        ("historico", flows.history_flow(pupils, municipal, TRAIN, TEST, **SHORT)),
-        ("melhorado", flows.engineered_flow(pupils, TRAIN, TEST, **SHORT)),
-    ]
+    steps = [("individual", pupil_model(spark, sf_dir)), ("historico", history_model(spark, sf_dir)), ("melhorado", engineered_model(spark, sf_dir))]
     return evaluate.compare_models([(name, fitted.scored()) for name, fitted in steps])
 
 
 def sampled_model(spark, sf_dir):
     """The pupil model fitted on a 15% sample stratified by label."""
-    return _both_splits(flows.pupil_flow(editions(spark, sf_dir), TRAIN, TEST, fraction=0.15, **SHORT))
+    return _both_splits(flows.pupil_flow(editions(spark, sf_dir), TRAIN, TEST, fraction=0.15))
 
 
 def _leaky_features():
@@ -139,13 +156,13 @@ def _leaky_features():
 
 def gbt_leaky(spark, sf_dir):
     train, test = _stored_train_test(spark, sf_dir)
-    pipeline = models.build_pipeline(train, "controle_leakage", "alfabetizado", _leaky_features(), **SHORT)
+    pipeline = models.build_pipeline(train, "controle_leakage", "alfabetizado", _leaky_features())
     return evaluate.metrics(models.score(models.fit(pipeline, train), test, "alfabetizado"))
 
 
 def leakage_experiment(spark, sf_dir):
     train, test = _stored_train_test(spark, sf_dir)
-    return models.leakage_experiment(train, test, "alfabetizado", _leaky_features(), ["proficiencia"], **SHORT)
+    return models.leakage_experiment(train, test, "alfabetizado", _leaky_features(), ["proficiencia"])
 
 
 def _scored_columns(scored):
@@ -166,18 +183,18 @@ def score_reloaded(spark, sf_dir):
 
 def cv_auc(spark, sf_dir):
     train, _ = _stored_train_test(spark, sf_dir)
-    folded = splits.stratified_folds(train, "alfabetizado", "id_registro", folds=3)
-    pipeline = models.build_pipeline(train, "individual", "alfabetizado", MODEL_COLUMNS, **SHORT)
-    per_fold = materialise(models.cross_validate(pipeline, folded, "alfabetizado", folds=3))
+    folded = splits.stratified_folds(train, "alfabetizado", "id_registro")
+    pipeline = models.build_pipeline(train, "individual", "alfabetizado", MODEL_COLUMNS)
+    per_fold = materialise(models.cross_validate(pipeline, folded, "alfabetizado"))
     summary = models.cv_summary(per_fold)
     return per_fold.select("*", *[summary.select(c).scalar().alias(c) for c in ("mean_auc", "two_std")])
 
 
 def random_search(spark, sf_dir):
     train, _ = _stored_train_test(spark, sf_dir)
-    folded = splits.stratified_folds(train, "alfabetizado", "id_registro", folds=2)
+    folded = splits.stratified_folds(train, "alfabetizado", "id_registro", folds=QUERY_FOLDS)
     _, ranked = tuning.random_search(
-        folded, "alfabetizado", prep.TabularPreprocessor(["presenca", "caderno"], ["rede"]), draws=2, folds=2, **SHORT
+        folded, "alfabetizado", prep.TabularPreprocessor(["presenca", "caderno"], ["rede"]), draws=QUERY_DRAWS, folds=QUERY_FOLDS
     )
     return ranked
 
@@ -193,15 +210,19 @@ def importance_cumulative(spark, sf_dir):
     return shares.select("*", needed.select("n_80").scalar().alias("n_80"), needed.select("n_90").scalar().alias("n_90"))
 
 
-BACKGROUND, PERMUTATIONS = 64, 2
+BACKGROUND = 64
 
 
-def _attributions(spark, sf_dir):
+@once
+def _attribution_model(spark, sf_dir):
     train, test = _stored_train_test(spark, sf_dir)
-    pipeline = models.build_pipeline(train, "individual", "alfabetizado", MODEL_COLUMNS, **SHORT)
-    model = models.fit(pipeline, train)
+    return models.fit(models.build_pipeline(train, "individual", "alfabetizado", MODEL_COLUMNS), train), train, test
+
+
+def _attributions(spark, sf_dir):
+    model, train, test = _attribution_model(spark, sf_dir)
     background = explain.background_rows(train, MODEL_COLUMNS, "id_registro", BACKGROUND)
-    return explain.shapley_values(model, test, background, MODEL_COLUMNS, "id_registro", BACKGROUND, PERMUTATIONS)
+    return explain.shapley_values(model, test, background, MODEL_COLUMNS, "id_registro", BACKGROUND)
 
 
 def shapley_rows(spark, sf_dir):
@@ -214,7 +235,7 @@ def shapley_summary(spark, sf_dir):
 
 def _clustered(spark, sf_dir):
     features = materialise(tpch.features_ml(tpch.indicadores(tpch.alunos(spark, sf_dir))))
-    return clusters.kmeans(features, starts=3)[1]
+    return clusters.kmeans(features)[1]
 
 
 def kmeans_municipios(spark, sf_dir):

@@ -41,7 +41,7 @@ def export_samples(frames: dict[str, DataFrame], out_dir: str) -> DataFrame:
     manifest = []
     for name, frame in frames.items():
         path = f"{out_dir.rstrip('/')}/sample_{name}"
-        frame.write.mode("overwrite").option("header", True).csv(path)
-        written = frame.sparkSession.read.option("header", True).schema(frame.schema).csv(path)
+        frame.write.mode("overwrite").option("header", True).option("multiLine", True).csv(path)
+        written = frame.sparkSession.read.option("header", True).option("multiLine", True).schema(frame.schema).csv(path)
         manifest.append(written.agg(F.lit(name).alias("table"), F.count("*").alias("n_rows")))
     return reduce(DataFrame.unionByName, manifest)

@@ -50,3 +50,19 @@ def test_broadcast_only_up_to_the_measured_limit(frames):
     plan = lambda limit: joins.sized_join(facts, side, ["k"], limit_bytes=limit)._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in plan(size)
     assert "_salt" in plan(size - 1) and "_salt" not in plan(size)
+
+
+def test_warm_keys_and_equal_rows_leave_no_large_task(spark):
+    """5,000 equally warm keys, and one key with a third of the rows, all alike."""
+    facts = spark.range(0, 90_000, numPartitions=16).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 5000).alias("k"), F.lit("same").alias("v"))
+    side = facts.groupBy("k").agg(F.count("*").alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for rows_col in (None, "n"):
+            out = joins.salted_join(facts, side, ["k"], "inner", rows_col)
+            per_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(per_task) == 90_000 and max(per_task) <= 2 * sum(per_task) / 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

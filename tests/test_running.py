@@ -76,3 +76,12 @@ def test_rank_outside_its_band_is_counted_in_full(spark, monkeypatch):
 def test_quantiles_of_an_empty_column(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "a double, b double")
     assert [tuple(r) for r in running.exact_quantiles(df, ["a", "b"], [0.5]).collect()] == [("b", 2, 2.0)]
+
+
+def test_rank_of_a_column_that_differs_at_every_evaluation(spark):
+    from pyspark.sql import functions as F
+
+    from ambar.operators.running import with_rank
+
+    ticking = spark.range(10).select("id", F.expr("cast(reflect('java.lang.System', 'nanoTime') AS double)").alias("t"))
+    assert with_rank(ticking, "t").count() == 10

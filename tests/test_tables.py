@@ -132,3 +132,26 @@ def test_overlap_counts(spark):
     df = spark.createDataFrame([(1, 2023), (1, 2024), (1, 2024), (2, 2023)], "id int, ano int")
     assert profile.overlap_summary(df, "id", "ano", 2023, 2024).first()[:] == (2, 2, 1, 1, 50.0)
     assert sorted(tuple(r) for r in profile.overlap_distribution(df, "id", "ano").collect()) == [(1, 1, 50.0), (2, 1, 50.0)]
+
+
+def test_nan_is_missing_in_histogram_and_audit(spark):
+    from ambar.operators.profile import histogram, null_audit
+
+    df = spark.createDataFrame([(float("nan"), None), (0.0, "a"), (1.0, "b"), (None, "c")], "x double, s string")
+    rows = histogram(df, "x", bins=2).collect()
+    assert [r["n"] for r in rows] == [1, 1] and rows[0]["lower"] == 0.0
+    assert {r["column"]: r["n_missing"] for r in null_audit(df).collect()} == {"x": 2, "s": 1}
+
+
+def test_one_category_with_missing_values_is_not_constant(spark):
+    from ambar.operators.columns import constant_columns
+
+    df = spark.createDataFrame([("a", "a", None, 1.0), (None, "a", None, None)], "c string, d string, e string, n double")
+    assert constant_columns(df, ["c", "d", "e", "n"]) == ["d", "e", "n"]
+
+
+def test_manifest_counts_rows_with_line_breaks(spark, tmp_path):
+    from ambar.sources.samples import export_samples
+
+    frame = spark.createDataFrame([("one\nline",), ("two",)], "s string")
+    assert export_samples({"t": frame}, str(tmp_path)).first()["n_rows"] == 2
