@@ -95,6 +95,20 @@ def test_hits_equal_brute_force(spark):
     assert none.count() == len(docs) and none.where("contaminated OR n_items > 0").count() == 0
 
 
+def test_hits_are_the_same_with_shuffled_joins(spark, monkeypatch):
+    from ambar.operators import joins
+
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    test_hits_equal_brute_force(spark)
+
+
+def test_archives_are_the_same_with_shuffled_joins(spark, tmp_path, monkeypatch):
+    from ambar.operators import joins
+
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    test_archives_round_trip(spark, tmp_path)
+
+
 def test_proximity(spark):
     setup(spark)
     items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa")], "item_id long, text string")
