@@ -107,7 +107,7 @@ def prose_rules(text: str = "text") -> list[Rule]:
     lines = F.size(F.filter(F.split(whole, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
     return [
         Rule("symbols", 10 * F.col("n_symbols") > chars),
-        Rule("dup_lines", 10 * F.col("n_dup_lines") > 3 * lines),
+        Rule("dup_lines", (F.col("n_dup_lines") >= 3) & (2 * F.col("n_dup_lines") > lines)),
         Rule("word_length", (chars > 40 * n_words) | (chars < 2 * n_words)),
         Rule("shouting", 2 * count_of(whole, "!") > n_words),
         Rule("digits", 2 * count_of(whole, "0123456789") > chars),
@@ -176,7 +176,7 @@ f AS (
   FROM d LEFT JOIN cov USING (r)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR 10 * n_symbols > word_chars OR 10 * n_dup_lines > 3 * n_lines
+  NOT (base_failed OR 10 * n_symbols > word_chars OR n_dup_lines >= 3 AND 2 * n_dup_lines > n_lines
     OR word_chars > 40 * n_words OR word_chars < 2 * n_words
     OR 2 * length(regexp_replace(t, '[^!]', '', 'g')) > n_words
     OR 2 * length(regexp_replace(t, '[^0-9]', '', 'g')) > word_chars
