@@ -11,5 +11,5 @@ ORACLES = {name: text for module in MODULES for name, text in module.ORACLES.ite
 
 
 def flagship(spark, sf_dir):
-    """Context and history features, temporal split, boosted trees, metrics on both editions."""
+    """Context features of school and network, temporal split, boosted trees, metrics on both editions."""
     return learning.gbt_engineered(spark, sf_dir)

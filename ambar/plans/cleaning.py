@@ -86,7 +86,7 @@ def distinct_indicadores(spark, sf_dir):
 
 
 def alunos_unicos(spark, sf_dir):
-    return splits.single_period_entities(tpch.alunos(spark, sf_dir, EDITIONS), "id_aluno", "ano")
+    return splits.single_period_entities(tpch.alunos(spark, sf_dir), "id_aluno", "ano")
 
 
 def temporal_split(spark, sf_dir):
@@ -104,7 +104,7 @@ def stratified_folds(spark, sf_dir):
 
 
 def step_counts(spark, sf_dir):
-    pupils = tpch.alunos(spark, sf_dir, EDITIONS)
+    pupils = tpch.alunos(spark, sf_dir)
     clean = columns.select_existing(pupils, PUPIL_PROJECTION)
     return profile.step_counts(
         [
@@ -136,7 +136,7 @@ QUERIES = {
 }
 
 LABEL_SQL = f"CASE WHEN taxa_alfabetizacao >= {TARGET_RATE} THEN 1 ELSE 0 END AS meta_atingida"
-ONCE_SQL = f"SELECT id_aluno FROM alunos WHERE ano IN ({TRAIN}, {TEST}) GROUP BY id_aluno HAVING count(DISTINCT ano) = 1"
+ONCE_SQL = "SELECT id_aluno FROM alunos GROUP BY id_aluno HAVING count(DISTINCT ano) = 1"
 
 
 def _column_lines(names: list[str], line) -> str:
@@ -200,7 +200,7 @@ ORACLES = {
     ),
     "alunos_unicos": sql(
         "alunos",
-        body=f"SELECT * FROM alunos WHERE ano IN ({TRAIN}, {TEST}) AND id_aluno IN (SELECT id_aluno FROM once)",
+        body="SELECT * FROM alunos WHERE id_aluno IN (SELECT id_aluno FROM once)",
         once=ONCE_SQL,
     ),
     "split_temporal": sql(
@@ -224,11 +224,10 @@ ORACLES = {
     ),
     "step_counts": sql(
         "alunos",
-        two=f"SELECT * FROM alunos WHERE ano IN ({TRAIN}, {TEST})",
         once=ONCE_SQL,
-        body="""SELECT 0 AS step, 'read' AS name, count(*) AS n_rows FROM two
-        UNION ALL SELECT 1, 'projected', count(*) FROM two
-        UNION ALL SELECT 2, 'single_period', count(*) FROM two WHERE id_aluno IN (SELECT id_aluno FROM once)
-        UNION ALL SELECT 3, 'with_attendance', count(*) FROM two WHERE presenca IS NOT NULL""",
+        body="""SELECT 0 AS step, 'read' AS name, count(*) AS n_rows FROM alunos
+        UNION ALL SELECT 1, 'projected', count(*) FROM alunos
+        UNION ALL SELECT 2, 'single_period', count(*) FROM alunos WHERE id_aluno IN (SELECT id_aluno FROM once)
+        UNION ALL SELECT 3, 'with_attendance', count(*) FROM alunos WHERE presenca IS NOT NULL""",
     ),
 }

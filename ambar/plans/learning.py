@@ -246,7 +246,33 @@ def cluster_profile(spark, sf_dir):
     return clusters.cluster_profile(_clustered(spark, sf_dir))
 
 
+def scored_keys(spark, sf_dir):
+    """Which rows the pupil model scores, and their labels."""
+    return scored(spark, sf_dir).select("id_registro", F.col("label").cast("int").alias("label"))
+
+
+def reloaded_difference(spark, sf_dir):
+    """Rows scored by the saved and loaded model, and how many scores differ from the fitted model's."""
+    first = scored(spark, sf_dir).select("id_registro", F.col("score").alias("first"))
+    both = first.join(score_reloaded(spark, sf_dir), "id_registro")
+    return both.agg(F.count("*").alias("n_rows"), F.count(F.when(F.abs(F.col("first") - F.col("score")) > 1e-12, 1)).alias("n_different"))
+
+
+def shapley_cover(spark, sf_dir):
+    """Rows with an attribution, per feature."""
+    return _attributions(spark, sf_dir).groupBy("feature").agg(F.count("*").alias("n_rows"))
+
+
+def cluster_cover(spark, sf_dir):
+    """Rows that got a cluster, and the number of clusters."""
+    return _clustered(spark, sf_dir).agg(F.count("cluster").alias("n_rows"), F.countDistinct("cluster").alias("n_clusters"))
+
+
 QUERIES = {
+    "scored_keys": scored_keys,
+    "reloaded_difference": reloaded_difference,
+    "shapley_cover": shapley_cover,
+    "cluster_cover": cluster_cover,
     "impute_median": impute_median,
     "impute_constant": impute_constant,
     "standard_scale": standard_scale,
@@ -291,7 +317,18 @@ ENTRIES = {
     **{f"rede_{v}": f"(rede = '{v}')::INT" for v in SEGMENTS},
 }
 
+# Pupils of one edition only, of the editions that the models use.
+TEST_ROWS = f"""SELECT * FROM alunos WHERE ano = {TEST} AND id_aluno IN (
+    SELECT id_aluno FROM alunos WHERE ano IN ({TRAIN}, {TEST}) GROUP BY id_aluno HAVING count(DISTINCT ano) = 1)"""
+
 ORACLES = {
+    "scored_keys": sql("alunos", rows=TEST_ROWS, body="SELECT id_registro, alfabetizado AS label FROM rows"),
+    "reloaded_difference": sql("alunos", rows=TEST_ROWS, body="SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM rows"),
+    "shapley_cover": sql(
+        "alunos",
+        body=" UNION ALL ".join(f"SELECT '{c}' AS feature, count(*) AS n_rows FROM alunos WHERE ano = {TEST}" for c in MODEL_COLUMNS),
+    ),
+    "cluster_cover": sql("indicadores", body="SELECT count(*) AS n_rows, 5::BIGINT AS n_clusters FROM indicadores"),
     "impute_median": sql(
         "alunos", t=TRAIN_SQL,
         body=f"""SELECT id_registro, {near('coalesce(presenca, (SELECT quantile_cont(presenca, 0.5) FROM t))')} AS presenca,
