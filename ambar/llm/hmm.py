@@ -39,8 +39,8 @@ STATES = 8
 ROUNDS = 4
 END = "\n"  # no word holds a line break
 FOLDS, HELD_OUT = 5, 1
-LANES = 256
-TOGETHER = 300_000  # symbols of documents that are advanced together
+LANES = 512
+TOGETHER = 500_000  # symbols of documents that are advanced together
 FLUSH = 400_000
 
 
@@ -185,16 +185,20 @@ def expected_counts(p: Parameters, sequences: list[np.ndarray], totals: Paramete
     steps, lanes = symbols.shape
     emit = np.vstack([p.emit, np.ones(len(p.start))])
     beta = np.ones((lanes, len(p.start)))
-    gammas = np.empty_like(alphas)
+    moved, back = np.zeros_like(p.move), np.ascontiguousarray(p.move.T)
+    gammas = alphas  # each step's place is free once the step after it is done
     for t in range(steps - 1, -1, -1):
+        ahead = emit[symbols[t]]
+        ahead *= beta
+        ahead /= scales[t][:, None]
         gamma = alphas[t] * beta
         gamma /= gamma.sum(1, keepdims=True)
         gammas[t] = gamma
-        ahead = emit[symbols[t]] * beta / scales[t][:, None]
         if t:
-            inside = ~first[t] & (symbols[t] >= 0)
-            totals.move += p.move * (alphas[t - 1][inside].T @ ahead[inside])
-            beta = np.where(inside[:, None], ahead @ p.move.T, 1.0)
+            inside = (~first[t] & (symbols[t] >= 0))[:, None]
+            moved += alphas[t - 1].T @ (ahead * inside)
+            beta = np.where(inside, ahead @ back, 1.0)
+    totals.move += p.move * moved
     real = symbols >= 0
     totals.start += gammas[first].sum(0)
     for k in range(len(p.start)):
@@ -202,29 +206,33 @@ def expected_counts(p: Parameters, sequences: list[np.ndarray], totals: Paramete
     return float(np.log(scales[real]).sum())
 
 
-def _groups(batches, column: str):
-    """Stored sequences in groups of about ``TOGETHER`` symbols."""
+def similar(data: list[np.ndarray]):
+    """Numbers of the sequences in groups of about ``TOGETHER`` symbols and of like lengths, which fill many lanes."""
     group, size = [], 0
-    for batch in batches:
-        for data in batch.column(column).to_pylist():
-            s = np.frombuffer(data, "<u2").astype(np.int32)
-            if group and size + len(s) > TOGETHER:
-                yield group
-                group, size = [], 0
-            group.append(s)
-            size += len(s)
+    for i in sorted(range(len(data)), key=lambda i: len(data[i])):
+        if group and size + len(data[i]) > TOGETHER:
+            yield group
+            group, size = [], 0
+        group.append(i)
+        size += len(data[i])
     if group:
         yield group
 
 
+def stored_symbols(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(s, "<u2").astype(np.int32) for s in batch.column("symbols").to_pylist()]
+
+
 def _round(p: Parameters):
     """Expected counts of a partition: one row per symbol, and one each for starts, moves and the likelihood."""
 
     def run(batches):
         states = len(p.start)
         totals, likelihood = Parameters(np.zeros(states), np.zeros((states, states)), np.zeros_like(p.emit)), 0.0
-        for group in _groups(batches, "symbols"):
-            likelihood += expected_counts(p, group, totals)
+        for batch in batches:
+            data = stored_symbols(batch)
+            for group in similar(data):
+                likelihood += expected_counts(p, [data[i] for i in group], totals)
         kinds = [*range(len(p.emit)), -1, *range(-2, -2 - states, -1), -1000]
         rows = [*totals.emit, totals.start, *totals.move, np.append(likelihood, np.zeros(states - 1))]
         some = [i for i, r in enumerate(rows) if r.any()]
@@ -295,18 +303,13 @@ def _likelihood(p: Parameters):
 
     def run(batches):
         for batch in batches:
-            data = [np.frombuffer(s, "<u2").astype(np.int32) for s in batch.column("symbols").to_pylist()]
-            out, group, size = np.zeros(len(data)), [], 0
-            for i in range(len(data) + 1):
-                if group and (i == len(data) or size + len(data[i]) > TOGETHER):
-                    symbols, owner, first = lay_lanes([data[j] for j in group])
-                    scales, _ = forward(p, symbols, first, keep=False)
-                    real = owner >= 0
-                    out[group] = np.bincount(owner[real], weights=np.log10(scales[real]), minlength=len(group))
-                    group, size = [], 0
-                if i < len(data):
-                    group.append(i)
-                    size += len(data[i])
+            data = stored_symbols(batch)
+            out = np.zeros(len(data))
+            for group in similar(data):
+                symbols, owner, first = lay_lanes([data[i] for i in group])
+                scales, _ = forward(p, symbols, first, keep=False)
+                real = owner >= 0
+                out[group] = np.bincount(owner[real], weights=np.log10(scales[real]), minlength=len(group))
             names = [c for c in batch.schema.names if c != "symbols"]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(out)], [*names, "_forward"])
 
