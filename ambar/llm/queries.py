@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-from ambar.llm import decontaminate, hmm, language_id, near_dup, packing, quality_rules, site_quality, token_counts, toxicity, warc
+from ambar.llm import (
+    alignment, decontaminate, hmm, language_id, near_dup, packing, quality_rules, site_quality, spelling, token_counts, toxicity, warc,
+)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -16,7 +17,8 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_near_dup": near_dup.op9_near_dup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
-    "pipeline": corpus_pipeline.run,
+    "op11_spelling": spelling.op11_spelling,
+    "op13_alignment": alignment.op13_alignment,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
