@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ambar.llm import (
-    alignment, decontaminate, hmm, language_id, near_dup, packing, quality_rules, site_quality, spelling, token_counts, toxicity, warc,
+    alignment, decontaminate, hmm, html_text, language_id, near_dup, packing, quality_rules, site_quality, spelling, token_counts, toxicity, warc,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_near_dup": near_dup.op9_near_dup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
     "op11_spelling": spelling.op11_spelling,
+    "op12_html_text": html_text.op12_html_text,
     "op13_alignment": alignment.op13_alignment,
 }
 ORACLES = {
