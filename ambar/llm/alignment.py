@@ -22,8 +22,10 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import math
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +38,10 @@ from ambar.operators.joins import measured_bytes, salted_join
 
 SHARDS = 256
 TABLE_BYTES = 96 << 20
-KNOWN_PIECES, KNOWN_BYTES = 300_000, 192 << 20
-LONG_PIECE = 200  # characters from which a piece is not remembered
-SHORT = 64  # tokens up to which a piece is aligned step by step
+KNOWN_PIECES, KNOWN_LINKS = 500_000, 8_000_000  # that a worker remembers
+TOGETHER = 1024  # new pieces that are encoded as one text
 FLUSH_PAIRS = 4_000_000
-TEXTS = 64
+TEXTS = 256
 
 # A space begins a new piece where the character before it is not white space.
 find_pieces = re.compile(r" [^ ]*(?:(?<=\s) [^ ]*)*").findall
@@ -84,93 +85,139 @@ class Bytewise:
         self.sizes = np.array([len(t) for t in self.tokens], np.int64)
 
 
-def align(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray):
-    """Links of two sequences of tokens over the same bytes, as places (in a, in b), and the groups' ends in a and b."""
-    end_a, end_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
+def align(a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray):
+    """Linked places of two sequences of tokens over the same bytes, the ends of the stretches that each link covers, and
+    the ends of the groups."""
     # Each stretch between neighbouring ends of either is covered by one token of each.
     ends = np.union1d(end_a, end_b)
-    in_a, in_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
-    common = np.intersect1d(end_a, end_b, assume_unique=True)
-    return in_a, in_b, np.searchsorted(end_a, common) + 1, np.searchsorted(end_b, common) + 1
-
-
-class Aligner:
-    """What each piece of a text gives: numbers of tokens and groups, linked pairs as numbers, and the groups' text."""
-
-    def __init__(self, path_a: str, path_b: str, groups: bool):
-        self.a, self.b = Bytewise(path_a), Bytewise(path_b)
-        self.width = len(self.b.tokens)
-        self.groups = groups
-        self.known, self.bytes = {}, 0
-
-    def measure(self, piece: str, a: list[int], b: list[int]):
-        """None where the tokens' bytes aren't those of the piece."""
-        raw = piece.encode("utf-8", "replace")
+    return np.searchsorted(end_a, ends), np.searchsorted(end_b, ends), ends, np.intersect1d(end_a, end_b, assume_unique=True)
+
+
+VALUES = ("right", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+
+
+class Pieces:
+    """What each piece of a text gives, remembered: sizes, linked pairs, and with ``table`` their counts and the groups' text.
+
+    New pieces are encoded many in one text and told apart by their ends, at which both encodings must cut; where they
+    don't, or the bytes differ, each piece is encoded alone. When too much is remembered, pieces met once go first.
+    """
+
+    def __init__(self, path_a: str, path_b: str, table: CountTable | None = None):
+        self.a, self.b, self.table = Bytewise(path_a), Bytewise(path_b), table
+        self.width, self.waiting = len(self.b.tokens), []
+        self.keep(np.empty(0, np.int64))
+
+    def keep(self, kept: np.ndarray) -> None:
+        """Forget all pieces but the numbered ones."""
+        some = kept.tolist()
+        self.names = [self.names[i] for i in some] if some else []
+        self.known = dict(zip(self.names, range(len(some))))
+        self.pairs = [self.pairs[i].copy() for i in some] if some else []
+        self.text = [self.text[i] for i in some] if some else []
+        values = np.zeros((len(some) + 1024, len(VALUES)), np.int64)
+        if some:
+            values[: len(some)] = self.values[kept]
+        self.values, self.met = values, np.zeros(len(values), np.int64)
+
+    def full(self) -> bool:
+        return len(self.names) > KNOWN_PIECES or int(self.values[: len(self.names), 4].sum()) > KNOWN_LINKS
+
+    def forget(self) -> None:
+        """Keep the pieces met most often, half of what fits at most."""
+        met, links = self.met[: len(self.names)], self.values[: len(self.names), 4]
+        order = np.argsort(-met, kind="stable")
+        order = order[(met[order] > 1) & (np.cumsum(links[order]) < KNOWN_LINKS // 2)]
+        self.keep(np.sort(order[: KNOWN_PIECES // 2]))
+
+    def add(self, names: list[str], values: np.ndarray, pairs: list[np.ndarray], texts: list[str | None]) -> None:
+        n = len(self.names)
+        if n + len(names) > len(self.values):
+            grown = np.zeros((2 * (n + len(names)), len(VALUES)), np.int64)
+            grown[:n] = self.values[:n]
+            self.values, self.met = grown, np.concatenate([self.met[:n], np.zeros(len(grown) - n, np.int64)])
+        self.values[n : n + len(names)] = values
+        self.known.update(zip(names, range(n, n + len(names))))
+        self.names += names
+        self.pairs += pairs
+        self.text += texts
+
+    def learn(self, new: list[str]) -> None:
+        # Behind a piece that ends in white space, the next one's space would not begin a token.
+        alone = [p for p in new if p[-1].isspace()]
+        others = [p for p in new if not p[-1].isspace()]
+        groups = [others[k : k + TOGETHER] for k in range(0, len(others), TOGETHER)]
+        joined = ["".join(g) for g in groups]
+        for group, text, a, b in zip(groups, joined, self.a.encode(joined), self.b.encode(joined)):
+            if not self.measure(group, text, a, b):
+                alone += group
+        for piece, a, b in zip(alone, self.a.encode(alone), self.b.encode(alone)):
+            if not self.measure([piece], piece, a, b):
+                self.add([piece], np.zeros((1, len(VALUES)), np.int64), [np.empty(0, np.int64)], [None])
+        self.look_up()
+
+    def look_up(self) -> None:
+        """The counts of the links of the pieces that were just added, all at once."""
+        waiting, self.waiting = self.waiting, []
+        if waiting:
+            pairs, place = np.unique(np.concatenate([p for _, _, p in waiting]), return_inverse=True)
+            counts = self.table.counts(pairs)
+            best, start = (counts == self.table.peaks[pairs % self.width]).astype(np.int64), 0
+            for first, stops, own in waiting:
+                at = place[start : start + len(own)]
+                start += len(own)
+                for k, amount in ((5, best[at]), (6, counts[at])):
+                    self.values[first : first + len(stops), k] = np.diff(np.cumsum(amount)[stops - 1], prepend=0)
+
+    def measure(self, group: list[str], text: str, a: list[int], b: list[int]) -> bool:
+        """Align a text of many pieces and part the result; False if the tokens don't give back its bytes piece by piece."""
+        raw = text.encode("utf-8", "replace")
         if b"".join(map(self.b.tokens.__getitem__, b)) != raw or b"".join(map(self.a.tokens.__getitem__, a)) != raw:
-            return None
-        if len(a) == 1 or len(b) == 1:  # one group, each with each
-            pairs, cuts = [x * self.width + y for x in a for y in b], [(len(a), len(b))]
-        elif len(a) + len(b) < SHORT:
-            pairs, cuts, i, j = [], [], 0, 0
-            end_a, end_b = len(self.a.tokens[a[0]]), len(self.b.tokens[b[0]])
-            while True:
-                pairs.append(a[i] * self.width + b[j])
-                ahead = end_a - end_b
-                if ahead <= 0:
-                    i += 1
-                if ahead >= 0:
-                    j += 1
-                if ahead == 0:
-                    cuts.append((i, j))
-                    if i == len(a):
-                        break
-                if ahead <= 0:
-                    end_a += len(self.a.tokens[a[i]])
-                if ahead >= 0:
-                    end_b += len(self.b.tokens[b[j]])
-        else:
-            one, other = np.array(a, np.int64), np.array(b, np.int64)
-            in_a, in_b, cut_a, cut_b = align(one, other, self.a.sizes, self.b.sizes)
-            pairs, cuts = one[in_a] * self.width + other[in_b], list(zip(cut_a.tolist(), cut_b.tolist()))
-        text = None
-        if self.groups:
+            return False
+        one, other = np.array(a, np.int64), np.array(b, np.int64)
+        end_a, end_b = np.cumsum(self.a.sizes[one]), np.cumsum(self.b.sizes[other])
+        in_a, in_b, ends, common = align(one, other, end_a, end_b)
+        stops = np.cumsum([len(p.encode("utf-8", "replace")) for p in group])
+        if not np.isin(stops, common).all():
+            return False
+        pairs = one[in_a] * self.width + other[in_b]
+        values = np.zeros((len(group), len(VALUES)), np.int64)
+        values[:, 0] = 1
+        at = [np.searchsorted(e, stops, "right") for e in (end_a, end_b, common, ends)]
+        for k, stop in enumerate(at, 1):
+            values[:, k] = np.diff(stop, prepend=0)
+        cuts = at[3].tolist()
+        texts = [None] * len(group)
+        if self.table is not None:
+            self.waiting.append((len(self.names), at[3], pairs))
             s, t, parts, i, j = list(map(str, a)), list(map(str, b)), [], 0, 0
-            for k, m in cuts:
-                parts.append(",".join(s[i:k]) + "|" + ",".join(t[j:m]))
+            for k, m in zip(np.searchsorted(end_a, common, "right").tolist(), np.searchsorted(end_b, common, "right").tolist()):
+                parts.append(f"{s[i]}|{t[j]}" if k == i + 1 and m == j + 1 else ",".join(s[i:k]) + "|" + ",".join(t[j:m]))
                 i, j = k, m
-            text = ";".join(parts)
-        return len(a), len(b), len(cuts), len(pairs), np.asarray(pairs, np.int64), text
-
-    def learn(self, new: list[str]) -> dict:
-        out = {}
-        for k in range(0, len(new), 1024):
-            part = new[k : k + 1024]
-            for piece, a, b in zip(part, self.a.encode(part), self.b.encode(part)):
-                out[piece] = found = self.measure(piece, a, b)
-                if len(piece) <= LONG_PIECE:
-                    self.known[piece] = found
-                    self.bytes += 400 + len(piece) + (found[4].nbytes if found else 0)
-        return out
-
-    def of(self, texts: list[str | None]) -> list[list | None]:
-        """For each text what its pieces give, or None where it has no tokens."""
+            ahead = at[2].tolist()
+            texts = [";".join(parts[x:y]) for x, y in zip([0, *ahead], ahead)]
+            pairs = pairs[:0]
+        own = [pairs[x:y] for x, y in zip([0, *cuts], cuts)] if len(pairs) else [pairs] * len(group)
+        self.add(group, values, own, texts)
+        return True
+
+    def of(self, texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray]:
+        """The numbers of each text's pieces, and whether it has tokens."""
         pieces = [find_pieces(" " + t) if t else [] for t in texts]
-        new = set().union(*pieces).difference(self.known)
-        if len(self.known) + len(new) > KNOWN_PIECES or self.bytes > KNOWN_BYTES:
-            self.known, self.bytes = {}, 0
-            new = set().union(*pieces)
-        fresh = self.learn(sorted(new)) if new else {}
-        look = self.known.__getitem__
-        if any(len(p) > LONG_PIECE for p in fresh):
-            look = lambda p: fresh[p] if p in fresh else self.known[p]
-        found = [list(map(look, p)) for p in pieces]
-        return [f if f and None not in f else None for f in found]
+        whole = [p for own in pieces for p in own]
+        numbers = np.fromiter(map(self.known.get, whole, itertools.repeat(-1)), np.int64, len(whole))
+        missing = np.flatnonzero(numbers < 0).tolist()
+        if missing:
+            self.learn(list(dict.fromkeys([whole[i] for i in missing])))
+            numbers[missing] = [self.known[whole[i]] for i in missing]
+        own = np.split(numbers, np.cumsum([len(p) for p in pieces])[:-1])
+        return own, np.array([len(p) > 0 and bool(self.values[p, 0].all()) for p in own], bool)
 
 
 @functools.lru_cache(maxsize=1)
-def counting_aligner(path_a: str, path_b: str) -> Aligner:
+def counting_pieces(path_a: str, path_b: str) -> Pieces:
     """One per worker process, so that its memory of pieces serves all partitions."""
-    return Aligner(path_a, path_b, groups=False)
+    return Pieces(path_a, path_b)
 
 
 def shard_of(pairs: np.ndarray) -> np.ndarray:
@@ -184,20 +231,30 @@ def text_runs(batch: pa.RecordBatch):
         yield k, column.slice(k, TEXTS).to_pylist()
 
 
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys, place = np.unique(keys, return_inverse=True)
+    total = np.zeros(len(keys), np.int64)
+    np.add.at(total, place, counts)
+    return keys, total
+
+
 def _count(path_a: str, path_b: str):
     def run(batches):
-        aligner, held, size = counting_aligner(path_a, path_b), [], 0
+        pieces, held = counting_pieces(path_a, path_b), (np.empty(0, np.int64), np.empty(0, np.int64))
+        uses = np.zeros(0, np.int64)  # of each piece, in texts that have tokens
 
-        def merged():
-            keys, place = np.unique(flat([k for k, _ in held], np.int64), return_inverse=True)
-            return keys, np.bincount(place, weights=flat([n for _, n in held], np.int64), minlength=len(keys)).astype(np.int64)
+        def with_pairs(held):
+            used = np.flatnonzero(uses)
+            own = [pieces.pairs[i] for i in used.tolist()]
+            repeats = np.repeat(uses[used], [len(p) for p in own]) if own else np.empty(0, np.int64)
+            return summed(np.concatenate([held[0], flat(own, np.int64)]), np.concatenate([held[1], repeats]))
 
         def rows(keys, counts):
             shard = shard_of(keys)
             order = np.argsort(shard, kind="stable")
             keys, counts, cuts = keys[order], counts[order], np.searchsorted(shard[order], np.arange(SHARDS + 1))
             used = np.flatnonzero(np.diff(cuts))
-            yield pa.RecordBatch.from_arrays([
+            return pa.RecordBatch.from_arrays([
                 pa.array(used.astype(np.int32)),
                 pa.array([keys[cuts[s] : cuts[s + 1]].tobytes() for s in used], pa.binary()),
                 pa.array([counts[cuts[s] : cuts[s + 1]].tobytes() for s in used], pa.binary()),
@@ -205,18 +262,19 @@ def _count(path_a: str, path_b: str):
 
         for batch in batches:
             for _, texts in text_runs(batch):
-                pairs = [piece[4] for found in aligner.of(texts) if found for piece in found]
-                if pairs:
-                    held.append(np.unique(flat(pairs, np.int64), return_counts=True))
-                    size += len(held[-1][0])
-            if size > FLUSH_PAIRS:
-                held = [merged()]
-                size = len(held[0][0])
-                if size > FLUSH_PAIRS // 2:
-                    yield from rows(*held[0])
-                    held, size = [], 0
-        if held:
-            yield from rows(*merged())
+                numbers, right = pieces.of(texts)
+                met = np.bincount(flat([p for p, ok in zip(numbers, right) if ok], np.int64), minlength=len(pieces.names))
+                uses = np.concatenate([uses, np.zeros(len(met) - len(uses), np.int64)]) + met
+                pieces.met[: len(met)] += met
+                if pieces.full():
+                    held, uses = with_pairs(held), np.zeros(0, np.int64)
+                    pieces.forget()
+                    if len(held[0]) > FLUSH_PAIRS:
+                        yield rows(*held)
+                        held = (np.empty(0, np.int64), np.empty(0, np.int64))
+        held = with_pairs(held)
+        if len(held[0]):
+            yield rows(*held)
 
     return run
 
@@ -333,95 +391,89 @@ class CountTable:
 
     def __init__(self, rows: list[dict], peaks: np.ndarray):
         self.parts = {r["shard"]: (PerfectHash.load(r["packed"], r["sizes"]), numbers(r["placed"]), numbers(r["vector"])) for r in rows}
-        self.peaks = peaks
+        self.peaks, self.name = peaks, uuid.uuid4().hex
 
     def counts(self, pairs: np.ndarray) -> np.ndarray:
         out, shard = np.zeros(len(pairs), np.int64), shard_of(pairs)
-        for s in np.unique(shard).tolist():
+        order = np.argsort(shard, kind="stable")
+        cuts = np.searchsorted(shard[order], np.arange(SHARDS + 1))
+        for s in np.flatnonzero(np.diff(cuts)).tolist():
             if s in self.parts:
                 index, placed, vector = self.parts[s]
-                mine = np.flatnonzero(shard == s)
+                mine = order[cuts[s] : cuts[s + 1]]
                 at = index(pairs[mine])
                 there = (at >= 0) & (placed[at] == pairs[mine])
                 out[mine[there]] = vector[at[there]]
         return out
 
-    def summary(self, pairs: np.ndarray) -> tuple[int, int]:
-        """Links whose count is their B id's highest, and the sum of counts."""
-        counts = self.counts(pairs)
-        return int((counts == self.peaks[pairs % len(self.peaks)]).sum()), int(counts.sum())
 
-
-class LazyCounts:
-    """The counts of pieces looked up many pieces at a time."""
-
-    def __init__(self, table: CountTable):
-        self.table, self.seen = table, {}
-
-    def add(self, pieces: list[tuple]) -> None:
-        new = {id(p): p for p in pieces if id(p) not in self.seen}
-        if not new:
-            return
-        pairs = flat([p[4] for p in new.values()], np.int64)
-        counts = self.table.counts(pairs)
-        best = counts == self.table.peaks[pairs % len(self.table.peaks)]
-        starts = np.cumsum([0, *[len(p[4]) for p in new.values()]])[:-1]
-        # The piece itself is kept, so that no other can take its place in memory.
-        for (k, p), n, s in zip(new.items(), np.add.reduceat(best.astype(np.int64), starts).tolist(), np.add.reduceat(counts, starts).tolist()):
-            self.seen[k] = (n, s, p)
+RESULT = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-RESULT = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
+def digest(texts: list[str]) -> str:
+    return hashlib.sha256(";".join(texts).encode()).hexdigest()
 
 
-def sums(found: list[tuple] | None) -> tuple[int, int, int, int, str]:
-    if not found:
-        return 0, 0, 0, 0, ""
-    digest = hashlib.sha256(";".join([p[5] for p in found]).encode()).hexdigest()
-    return (*[sum([p[k] for p in found]) for k in range(4)], digest)
+def numbers_of(pieces: Pieces, texts: list[str | None]) -> list[tuple]:
+    """The values of ``RESULT`` for each text."""
+    own, right = pieces.of(texts)
+    pieces.met[: len(pieces.names)] += np.bincount(flat(own, np.int64), minlength=len(pieces.names))
+    return [
+        (*pieces.values[p, 1:].sum(0).tolist(), digest(list(map(pieces.text.__getitem__, p.tolist())))) if ok else (0, 0, 0, 0, 0, 0, "")
+        for p, ok in zip(own, right)
+    ]
 
 
 def _look_up(path_a: str, path_b: str, held, key: str):
     """The second pass with the whole table at hand."""
 
     def run(batches):
-        aligner, lazy = Aligner(path_a, path_b, groups=True), LazyCounts(held.value)
+        pieces = looking_pieces(path_a, path_b, held.value)
         for batch in batches:
             rows = []
             for _, texts in text_runs(batch):
-                before = aligner.known
-                documents = aligner.of(texts)
-                if aligner.known is not before:
-                    lazy.seen.clear()
-                lazy.add([p for found in documents if found for p in found])
-                for found in documents:
-                    n_a, n_b, n_groups, n_links, digest = sums(found)
-                    looked = [lazy.seen[id(p)] for p in found or ()]
-                    rows.append((n_a, n_b, n_groups, n_links, sum([x[0] for x in looked]), sum([x[1] for x in looked]), digest))
+                rows += numbers_of(pieces, texts)
+                if pieces.full():
+                    pieces.forget()
             columns = list(zip(*rows)) if rows else [[]] * 7
             arrays = [pa.array(c, pa.string() if i == 6 else pa.int64()) for i, c in enumerate(columns)]
-            yield pa.RecordBatch.from_arrays([batch.column(key), *arrays], [key, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column(key), *arrays], [key, *VALUES[1:], "groups_sha256"])
 
     return run
 
 
+_LOOKING: dict[str, Pieces] = {}
+
+
+def looking_pieces(path_a: str, path_b: str, table: CountTable) -> Pieces:
+    """The pieces of the worker process for one table of counts; those of another table are dropped."""
+    if table.name not in _LOOKING:
+        _LOOKING.clear()
+        _LOOKING[table.name] = Pieces(path_a, path_b, table)
+    return _LOOKING[table.name]
+
+
 def _links_by_shard(path_a: str, path_b: str, key: str):
     """The second pass without the table: a text's own numbers once, and its pairs with their repeats by part."""
 
     def run(batches):
-        aligner = Aligner(path_a, path_b, groups=True)
+        counted = Pieces(path_a, path_b)
+        named = Pieces(path_a, path_b, CountTable([], np.ones(counted.width, np.int64)))
         for batch in batches:
-            ids, out = batch.column(key).to_pylist(), []
+            ids, places, out = batch.column(key).to_pylist(), batch.column("_row").to_pylist(), []
             for k, texts in text_runs(batch):
-                for i, found in enumerate(aligner.of(texts), k):
-                    n_a, n_b, n_groups, n_links, digest = sums(found)
-                    out.append((ids[i], batch.column("_row")[i].as_py(), -1, None, None, n_a, n_b, n_groups, n_links, digest))
-                    if found:
-                        pairs, n = np.unique(flat([p[4] for p in found], np.int64), return_counts=True)
+                own, right = counted.of(texts)
+                for i, (p, ok, values) in enumerate(zip(own, right, numbers_of(named, texts)), k):
+                    out.append((ids[i], places[i], -1, None, None, *values[:4], values[6]))
+                    if ok:
+                        pairs, n = np.unique(flat([counted.pairs[x] for x in p.tolist()], np.int64), return_counts=True)
                         shard = shard_of(pairs)
                         for s in np.unique(shard).tolist():
                             mine = shard == s
-                            out.append((ids[i], out[-1][1], s, pairs[mine].tobytes(), n[mine].astype(np.int64).tobytes(), 0, 0, 0, 0, None))
+                            out.append((ids[i], places[i], s, pairs[mine].tobytes(), n[mine].astype(np.int64).tobytes(), 0, 0, 0, 0, None))
+                for pieces in (counted, named):
+                    if pieces.full():
+                        pieces.forget()
             kinds = [batch.column(key).type, pa.int64(), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * 4, pa.string()]
             names = [key, "_row", "shard", "keys", "repeats", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), kinds)] if out else [pa.array([], t) for t in kinds], names)
