@@ -1,8 +1,8 @@
 """Spelling variants: pairs of words one edit apart by pivotal grams, and the form that each word varies.
 
 1. Words are counted per task and summed by word.
-2. Bigrams are ordered by how many words have them. A word's *prefix* is its ``PREFIX`` rarest bigrams (with all
-   places of the last one). From it two disjoint bigrams, the *pivots*, are chosen by dynamic programming so that the
+2. Bigrams are ordered by how many words have them, and by place. A word's *prefix* is its first ``PREFIX`` bigrams in
+   that order. From it two disjoint bigrams, the *pivots*, are chosen by dynamic programming so that the
    two lists they will meet are short.
 3. One edit can't touch both pivots. Of two words one edit apart, take the one whose prefix ends earlier in the order:
    its pivot that the edit spares is in the other word's prefix. If the edit lies behind the first pivot, that pivot
@@ -23,6 +23,7 @@ table gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from array import array
@@ -137,10 +138,18 @@ class GramIndex:
         self.count = counts
 
     def prefix(self, word: str) -> list[int]:
-        """Places of the ``PREFIX`` rarest bigrams in the order of the word, with every place of the last of them."""
-        ranks = [self.rank[word[i : i + 2]] for i in range(len(word) - 1)]
-        last = sorted(ranks)[min(PREFIX, len(ranks)) - 1]
-        return [i for i, r in enumerate(ranks) if r <= last]
+        """Places of the first ``PREFIX`` bigrams by rank and place, in the order of the word."""
+        ranks = [(self.rank[word[i : i + 2]], i) for i in range(len(word) - 1)]
+        return sorted(i for _, i in heapq.nsmallest(PREFIX, ranks))
+
+    def widened(self, word: str, places: list[int]) -> list[int]:
+        """The prefix with the place behind its last bigram's, where that is the same bigram.
+
+        A bigram that comes before the last of this prefix in another word may be one place further on here.
+        """
+        last = max(places, key=lambda i: (self.rank[word[i : i + 2]], i))
+        more = last + 1 < len(word) - 1 and word[last + 1 : last + 3] == word[last : last + 2]
+        return sorted({*places, last + 1}) if more else places
 
     def pivots(self, word: str, places: list[int]) -> tuple[int, int]:
         """Two disjoint places of the prefix: the first keeps what is before it, the second what is behind.
@@ -168,7 +177,7 @@ class GramIndex:
         return distance << 33 | length << 1 | kind, checksum << 14 | self.rank[gram]
 
     def prefix_keys(self, word: str) -> list[tuple[int, int]]:
-        places, raw, n, out = self.prefix(word), word.encode("latin-1"), len(word), []
+        places, raw, n, out = self.widened(word, self.prefix(word)), word.encode("latin-1"), len(word), []
         crc, done = 0, 0
         for i in places:
             crc, done = zlib.crc32(raw[done : i + 2], crc), i + 2
