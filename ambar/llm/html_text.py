@@ -414,10 +414,15 @@ def learn(pages: list[str]) -> Weights:
     return fit(trees, labels)
 
 
-def sampled_pages(pages: DataFrame, rows: int) -> list[str]:
-    """``rows`` pages at most, those of the least hashes of their text: the same for any partitioning."""
-    short = pages.select("html").where(F.length("html") < 100_000)
-    return [r["html"] for r in short.orderBy(F.xxhash64("html"), "html").limit(rows).collect()]
+def sampled_pages(pages: DataFrame, keys: tuple[str, ...], rows: int) -> list[str]:
+    """``rows`` pages at most, those of the least hashes of their keys and text: the same for any partitioning.
+
+    Only hashes low enough for some twice as many pages are sorted, so that what tasks send doesn't grow with their number.
+    """
+    short = pages.select("html", F.pmod(F.xxhash64(*keys, "html"), F.lit(1 << 40)).alias("h")).where(F.length("html") < 100_000)
+    total = short.count()
+    least = short.where(F.col("h") < F.lit(int((1 << 40) * min(1.0, (2 * rows + 50) / max(1, total)))))
+    return [r["html"] for r in least.orderBy("h", "html").limit(rows).collect()]
 
 
 def _extract(w: Weights, keys: list[str]):
@@ -438,7 +443,7 @@ def _extract(w: Weights, keys: list[str]):
 
 def main_text(pages: DataFrame, keys: tuple[str, ...] = ("page_id", "url"), fit_pages: int = FIT_PAGES) -> DataFrame:
     """``keys``, ``text`` and ``n_chars`` of every row of ``pages`` (with a column ``html``)."""
-    w = learn(sampled_pages(pages, fit_pages))
+    w = learn(sampled_pages(pages, keys, fit_pages))
     fields = ", ".join(f"`{k}` {pages.schema[k].dataType.simpleString()}" for k in keys)
     return map_batches(pages.select(*keys, "html"), _extract(w, list(keys)), f"{fields}, text string, n_chars long")
 
