@@ -98,6 +98,19 @@ def kept_once(df: DataFrame, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def apart(df: DataFrame):
+    """``df`` with its columns under numbered names, those names by the columns' own, and what puts the columns back.
+
+    A stage that returns its input rows as they are works on these, so that no column of the input can clash with its own.
+    """
+    names = {c: f"_in{i}" for i, c in enumerate(df.columns)}
+
+    def restored(out: DataFrame) -> DataFrame:
+        return out.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+    return df.toDF(*names.values()), names, restored
+
+
 def flat(arrays: list[np.ndarray], dtype) -> np.ndarray:
     return np.concatenate(arrays).astype(dtype, copy=False) if arrays else np.empty(0, dtype)
 

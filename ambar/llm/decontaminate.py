@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ambar.llm.common import kept_once, lower_ascii, table
+from ambar.llm.common import apart, kept_once, lower_ascii, table
 from ambar.operators.joins import sized_join
 
 WINDOW = 10
@@ -144,8 +144,10 @@ def clean_rows(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataF
     """The rows of ``docs`` in which no window of ``items`` occurs, as they are."""
     found = all_matches(keyed(docs), item_windows(items, window)).select(*KEY).distinct()
     found = kept_once(by_key(found).drop("doc_id"))
-    rows = by_key(docs.withColumn("_text", F.xxhash64("text")))
-    return sized_join(rows, found, ["_id", "_none", "_text"], "left_anti").select(*docs.columns)
+    rows, names, restored = apart(docs)
+    doc = F.col(names["doc_id"])
+    keyed_rows = rows.withColumns({"_text": F.xxhash64(names["text"]), "_id": F.coalesce(doc.cast("string"), F.lit("")), "_none": doc.isNull()})
+    return restored(sized_join(keyed_rows, found, ["_id", "_none", "_text"], "left_anti"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -12,7 +12,6 @@ repeated rows get equal results; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,20 +19,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ambar.llm.common import bounded_sample, code_points, fold, map_batches, table, texts
+from ambar.llm.common import code_points, fold, map_batches, table, texts
 
 FIT_ROWS = 6_000
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 SLICE = 1 << 20  # characters counted at a time
 FOLDS, HELD_OUT = 4, 2
-has_letter = re.compile(r"[^\W\d_]").search
+LEAST_ROWS = 60  # of each language in the fit sample, where there are as many
+
 
 # ASCII characters that are not letters count as space.
 SPACE_OUT = np.arange(128, dtype=np.uint32)
 SPACE_OUT[[c for c in range(128) if not chr(c).isalpha()]] = 32
 
 
+def has_letter(text: str) -> bool:
+    """Whether some character is of a Unicode letter category; numerals such as ½ or Ⅷ are not."""
+    return any(map(str.isalpha, text))
+
+
 def ngram_counts(text: str) -> np.ndarray:
     """How often each bucket's n-grams occur in the text, lower-cased, with runs of spaces as one."""
     total = np.zeros(BUCKETS, np.int64)
@@ -121,6 +126,15 @@ def fit_temperature(logits: np.ndarray, target: np.ndarray) -> float:
     return float(min(np.exp(np.linspace(np.log(0.02), np.log(5), 120)), key=loss))
 
 
+def sample_by_language(train: DataFrame, rows: int, least: int = LEAST_ROWS, seed: int = 42) -> DataFrame:
+    """About ``rows`` rows in the languages' own proportions, but some ``least`` of each language, or all that it has."""
+    sizes = {r["lang"]: r["count"] for r in train.groupBy("lang").count().collect()}
+    total = sum(sizes.values())
+    if total <= rows:
+        return train
+    return train.sampleBy("lang", {lang: min(1.0, max(rows / total, least / n)) for lang, n in sizes.items()}, seed)
+
+
 def fit(train: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """From the ``text`` and ``lang`` of the rows given."""
     train = train.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
@@ -143,7 +157,7 @@ def fit(train: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
                 ["lang", "at", "value"],
             )
 
-    sample = map_batches(bounded_sample(train, fit_rows), vectors, "lang string, at binary, value binary").where("at is not null").toPandas()
+    sample = map_batches(sample_by_language(train, fit_rows), vectors, "lang string, at binary, value binary").where("at is not null").toPandas()
     languages = sorted(set(sample["lang"]))
     if not languages:
         return Model([], np.zeros((0, BUCKETS + 1)), idf)

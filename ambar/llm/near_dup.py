@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ambar.llm.common import LOWER_ASCII, Memo, find_words, kept_once, map_batches, mix64, table, texts
+from ambar.llm.common import LOWER_ASCII, Memo, apart, find_words, kept_once, map_batches, mix64, table, texts
 from ambar.operators.joins import sized_join
 
 SHINGLE = 5
@@ -291,8 +291,11 @@ def first_rows(docs: DataFrame) -> DataFrame:
     gone = kept_once(ids.where("NOT kept OR n > 1").select("doc_id"))
     again = kept_once(ids.where("kept AND n > 1").select("doc_id"))
     # What goes is less than what stays, and rows without an id stay by themselves.
-    once = sized_join(docs, gone, ["doc_id"], "left_anti")
-    return once.unionByName(sized_join(docs, again, ["doc_id"], "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
+    rows, names, restored = apart(docs)
+    key = names["doc_id"]
+    once = sized_join(rows, gone.withColumnRenamed("doc_id", key), [key], "left_anti")
+    one = sized_join(rows, again.withColumnRenamed("doc_id", key), [key], "left_semi").dropDuplicates([key]).select(*rows.columns)
+    return restored(once.select(*rows.columns).unionByName(one))
 
 
 def op9_near_dup(spark, sf_dir):

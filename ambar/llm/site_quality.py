@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ambar.llm.common import bounded_sample, find_words, fold, kept_once, map_batches, table, texts
+from ambar.llm.common import apart, bounded_sample, find_words, fold, kept_once, map_batches, table, texts
 from ambar.llm.toxicity import FOLDS, HELD_OUT, labelled_rows
 from ambar.operators.joins import sized_join
 
@@ -110,13 +110,13 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, column: str = "quality", fi
     return model
 
 
-def with_evidence(df: DataFrame, model: Evidence, with_text: bool = False) -> DataFrame:
+def with_evidence(df: DataFrame, model: Evidence, with_text: bool = False, text: str = "text") -> DataFrame:
     """The columns of ``df``, without its text unless that is asked for, and ``_logit``."""
-    names = [c for c in df.columns if c != "text" or with_text]
+    names = [c for c in df.columns if c != text or with_text]
 
     def run(batches):
         for batch in batches:
-            x = np.array([statistics(t) for t in texts(batch)], float).reshape(-1, len(STATISTICS))
+            x = np.array([statistics(t) for t in texts(batch, text)], float).reshape(-1, len(STATISTICS))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(model.logit(x), pa.float64())], [*names, "_logit"])
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields if f.name in names)
@@ -145,7 +145,8 @@ def strength(groups: DataFrame, prior: Column) -> float:
 
 
 def site_posteriors(evidence: DataFrame) -> tuple[DataFrame, float]:
-    """One row per ``_host`` and ``_path`` with its posterior share ``_prior``, and the global share."""
+    """One row per ``_host`` and ``_path`` with the sums, sizes and strengths that its posterior share follows from, and
+    the global share."""
     p = 1 / (1 + F.exp(-F.col("_logit")))
     # Rounded sums come out the same whatever the order of the rows.
     paths = kept_once(evidence.groupBy("_host", "_path").agg(F.sum(F.round(p, 9).cast("decimal(28,9)")).cast("double").alias("good"), F.count("*").alias("n")))
@@ -153,10 +154,21 @@ def site_posteriors(evidence: DataFrame) -> tuple[DataFrame, float]:
     share = ((total[0] or 0) + 1) / ((total[1] or 0) + 2)
     hosts = paths.groupBy("_host").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
     own = strength(hosts, F.lit(share))
-    hosts = hosts.select("_host", shrunk(F.col("good"), F.col("n"), F.lit(share), F.lit(own)).alias("_host_share"))
+    hosts = hosts.select("_host", F.col("good").alias("_host_good"), F.col("n").alias("_host_n"))
     joined = kept_once(sized_join(paths, kept_once(hosts), ["_host"], "inner"))
-    within = strength(joined, F.col("_host_share"))
-    return joined.select("_host", "_path", "_host_share", shrunk(F.col("good"), F.col("n"), F.col("_host_share"), F.lit(within)).alias("_prior"), "n"), share
+    host_share = shrunk(F.col("_host_good"), F.col("_host_n"), F.lit(share), F.lit(own))
+    within = strength(joined, host_share)
+    return joined.select("_host", "_path", "_host_good", "_host_n", "good", "n", F.lit(own).alias("_own"), F.lit(within).alias("_within")), share
+
+
+def posterior_without(p: Column | None, share: float) -> Column:
+    """A path's posterior share, from the other documents only if a document's own evidence ``p`` is given.
+
+    A document's evidence enters its score once; counted again in its site it would weigh double at sparse sites.
+    """
+    good, n = (F.col("good"), F.col("n")) if p is None else (F.greatest(F.col("good") - p, F.lit(0.0)), F.col("n") - 1)
+    host_good, host_n = (F.col("_host_good"), F.col("_host_n")) if p is None else (F.greatest(F.col("_host_good") - p, F.lit(0.0)), F.col("_host_n") - 1)
+    return shrunk(good, n, shrunk(host_good, host_n, F.lit(share), F.col("_own")), F.col("_within"))
 
 
 def _at_sites(df: DataFrame, host: str, path: str, columns: list[str]) -> DataFrame:
@@ -167,9 +179,10 @@ def _at_sites(df: DataFrame, host: str, path: str, columns: list[str]) -> DataFr
 def _scored(evidence: DataFrame, sites: DataFrame, share: float) -> DataFrame:
     """``evidence`` with ``site_share`` and ``score``: the prior odds in the evidence give way to those of the path."""
     joined = sized_join(evidence, sites, ["_host", "_path"], "left", rows_col="n")
-    prior = F.greatest(F.least(F.col("_prior"), F.lit(1 - 1e-6)), F.lit(1e-6))
+    others = posterior_without(1 / (1 + F.exp(-F.col("_logit"))), share)
+    prior = F.greatest(F.least(others, F.lit(1 - 1e-6)), F.lit(1e-6))
     score = 1 / (1 + F.exp(-(F.col("_logit") + F.log(prior / (1 - prior)) - float(np.log(share / (1 - share))))))
-    return joined.withColumns({"site_share": F.col("_prior"), "score": score})
+    return joined.withColumns({"site_share": others, "score": score})
 
 
 def quality(df: DataFrame, model: Evidence, host: str = "source", path: str = "lang", cut: float = CUT) -> DataFrame:
@@ -185,9 +198,11 @@ def quality(df: DataFrame, model: Evidence, host: str = "source", path: str = "l
 
 def good_rows(df: DataFrame, model: Evidence, host: str = "source", path: str = "lang", cut: float = CUT) -> DataFrame:
     """The rows of ``df`` that :func:`quality` keeps, as they are. Texts are read twice and never shuffled with small site tables."""
-    sites, share = site_posteriors(kept_once(with_evidence(_at_sites(df, host, path, ["text"]), model)))
-    evidence = with_evidence(_at_sites(df, host, path, df.columns), model, with_text=True)
-    return _scored(evidence, kept_once(sites), share).where(F.col("score") >= cut).select(*df.columns)
+    rows, names, restored = apart(df)
+    host, path, text = names.get(host, host), names.get(path, path), names["text"]
+    sites, share = site_posteriors(kept_once(with_evidence(_at_sites(rows, host, path, [text]), model, text=text)))
+    evidence = with_evidence(_at_sites(rows, host, path, rows.columns), model, with_text=True, text=text)
+    return restored(_scored(evidence, kept_once(sites), share).where(F.col("score") >= cut))
 
 
 def op7_site_quality(spark, sf_dir):

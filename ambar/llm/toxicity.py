@@ -11,8 +11,8 @@
 Lexicon counts cover all labelled training rows. The label model and the classifier are fitted on a bounded
 sample of ``FIT_ROWS`` of them. Scoring is one pass over the texts with a lexicon of bounded size.
 
-Defined results: missing and empty texts get the score of a text without findings; without labelled rows of both
-classes every score is the class's smoothed share; labels that are missing count as none, and a document that
+Defined results: missing and empty texts get the score of a text without findings; without labelled rows no
+document is predicted toxic; with rows of one class only every score is the class's smoothed share; labels that are missing count as none, and a document that
 is labelled several times is toxic if any label says so; repeated rows get equal scores; an empty table gives an
 empty result. Input columns stay, except those with a result's name.
 """
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ambar.llm.common import Memo, bounded_sample, find_words, fold, map_batches, table, texts
+from ambar.llm.common import Memo, apart, bounded_sample, find_words, fold, map_batches, table, texts
 from ambar.operators.joins import sized_join
 
 FIT_ROWS = 20_000
@@ -42,6 +42,7 @@ PREFIXES = (3, 4, 5, 6, 7)
 GROUPS = 12
 DEPENDENT = 0.05  # mutual information, in nats a row, from which two voters count as correlated within a class
 CUT = 0.3
+NOTHING_KNOWN = -4.0  # log odds without any labelled row: nothing is taken for toxic
 FLUSH = 300_000
 FOLDS, HELD_OUT = 4, 2
 
@@ -291,7 +292,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", fit_rows: int
     sample = map_batches(bounded_sample(rows, fit_rows), _examples(features), "found array<int>, hits array<boolean>, label int").toPandas()
     label = sample["label"].to_numpy().astype(np.int64)
     if not len(label):
-        return Model()
+        return Model({}, NOTHING_KNOWN)
     if label.min() == label.max():
         share = (label.sum() + 1) / (len(label) + 2)
         return Model({}, float(np.log(share / (1 - share))))
@@ -305,7 +306,13 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", fit_rows: int
     return Model({features[f]: float(w) for f, w in zip(chosen, weights) if w}, intercept)
 
 
-def score(df: DataFrame, model: Model, name: str = "score") -> DataFrame:
+def clean_rows(df: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
+    """The rows of ``df`` that score below ``cut``, as they are."""
+    rows, names, restored = apart(df)
+    return restored(score(rows, model, "_score", names["text"]).where(F.col("_score") < cut))
+
+
+def score(df: DataFrame, model: Model, name: str = "score", text: str = "text") -> DataFrame:
     """``df`` with the score of its ``text`` in a column ``name``. Texts stay where they are read."""
     df = df.drop(name)
     names = df.columns
@@ -313,7 +320,7 @@ def score(df: DataFrame, model: Model, name: str = "score") -> DataFrame:
     def run(batches):
         of = model.scorer()
         for batch in batches:
-            scores = pa.array([of(t) for t in texts(batch)], pa.float64())
+            scores = pa.array([of(t) for t in texts(batch, text)], pa.float64())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], scores], [*names, name])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)

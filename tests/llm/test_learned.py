@@ -62,7 +62,7 @@ def test_toxicity_edge_rows(spark):
     got = {(r["doc_id"], r["text"]): r["score"] for r in toxicity.score(docs.selectExpr("*", "'s' AS score", "1 AS found"), model).collect()}
     assert len(got) == 204 and got[300, None] == got[301, ""] < 0.3 < got[None, "rudeword"]
     assert toxicity.fit(docs, labels.where("toxic = 0")).intercept < -2
-    assert toxicity.fit(docs, labels.limit(0)) == toxicity.Model()
+    assert toxicity.fit(docs, labels.limit(0)) == toxicity.Model({}, toxicity.NOTHING_KNOWN)
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
@@ -112,7 +112,7 @@ def test_sparse_sites_keep_to_the_prior(spark):
     rows = [("big", "a", 2.0)] * 400 + [("bad", "a", -2.0)] * 400 + [("bad", "b", 2.0)] + [("new", "x", 2.0)] + [(f"h{i}", "p", 2.0 if i % 2 else -2.0) for i in range(40) for _ in range(30)]
     evidence = spark.createDataFrame(rows, "_host string, _path string, _logit double").selectExpr("_host", "_host || '/' || _path AS _path", "_logit")
     sites, share = site_quality.site_posteriors(evidence)
-    found = {r["_path"]: r["_prior"] for r in sites.collect()}
+    found = {r["_path"]: r["_prior"] for r in sites.withColumn("_prior", site_quality.posterior_without(None, share)).collect()}
     assert found["bad/a"] < 0.2 < 0.8 < found["big/a"]
     assert found["bad/a"] < found["bad/b"] < share  # one good document in a bad host
     assert abs(found["new/x"] - share) < abs(found["big/a"] - share)
@@ -186,14 +186,126 @@ def test_language_model_edge_rows(spark):
     assert hmm.score_texts(docs.limit(0), fold("doc_id", 5) == 1).count() == 0
 
 
+def trained(spark, rows, **sizes):
+    vocab = hmm.vocabulary(hmm.word_counts(rows.where("NOT held_out")), **sizes)
+    return vocab, hmm.read_texts(rows, vocab)
+
+
 def test_each_round_raises_the_likelihood(spark, sf_dir):
-    from ambar.llm.common import kept_once, map_batches
-
-    docs = setup(spark).read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "text", "false AS held_out", "monotonically_increasing_id() AS _row")
-    vocab = hmm.vocabulary(hmm.word_counts(docs))
-    fields = "doc_id long, _row long, held_out boolean, n_tokens long, hot_tokens long, hot_base double, symbols binary, words array<string>, counts array<long>"
-    read = kept_once(map_batches(docs, hmm._read(vocab), fields))
-    start = np.zeros(hmm.HOT + hmm.CLASSES, np.int64)
-    start[: len(vocab.hot_counts)], start[hmm.HOT :] = vocab.hot_counts, vocab.class_total
-    _, history = hmm.baum_welch(read, hmm.first_parameters(start, 4), rounds=4)
+    docs = setup(spark).read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "text", "false AS held_out")
+    vocab, read = trained(spark, docs)
+    _, history = hmm.baum_welch(read, hmm.first_parameters(vocab.first_counts(), 4), rounds=4)
     assert all(a < b for a, b in zip(history, history[1:]))
+
+
+def test_blocks_give_the_same_counts():
+    random_ = np.random.default_rng(6)
+    draw = lambda *shape: (lambda x: x / x.sum(-1, keepdims=True))(random_.random(shape))
+    p = hmm.Parameters(draw(3), draw(3, 3), draw(3, 7).T)
+    sequences = [random_.integers(0, 7, n).astype(np.int32) for n in (50, 3, 1, 17, 49, 20)]
+    found = []
+    for together, dtype in ((10**6, np.float64), (1, np.float64), (13, np.float64), (9, np.float32)):
+        totals = hmm.Parameters(np.zeros(3), np.zeros((3, 3)), np.zeros((7, 3)))
+        found.append((hmm.expected_counts(p, sequences, totals, dtype, together), totals))
+    for log, totals in found[1:]:
+        assert math.isclose(log, found[0][0], rel_tol=1e-5)
+        for name in ("start", "move", "emit"):
+            assert np.allclose(getattr(totals, name), getattr(found[0][1], name), rtol=1e-4, atol=1e-4)
+
+
+def test_a_very_long_text_is_trained_on_in_blocks():
+    import tracemalloc
+
+    p = hmm.first_parameters(np.ones(50, np.int64), 4)
+    text = np.tile(np.arange(50, dtype=np.int32), 3000)  # 150,000 symbols
+    totals = hmm.Parameters(np.zeros(4), np.zeros((4, 4)), np.zeros((50, 4)))
+    tracemalloc.start()
+    hmm.expected_counts(p, [text], totals, np.float32, together=2000)
+    assert tracemalloc.get_traced_memory()[1] < 20e6
+    tracemalloc.stop()
+    assert math.isclose(totals.emit.sum(), len(text), rel_tol=1e-3)
+
+
+@pytest.mark.parametrize("known", [3, 50])
+def test_scores_equal_enumeration_over_all_state_paths(spark, known):
+    from pyspark.sql import functions as F
+
+    texts = ["a b a", "B c", "", None, "a ax bx zx", "b b c a", "unseen ax"]
+    rows = setup(spark).createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    held = F.col("doc_id") == 6
+    sizes = {"hot": 3, "classes": 2, "known": known}
+    got = {r["doc_id"]: r for r in hmm.score_texts(rows, held, states=2, rounds=3, **sizes).collect()}
+    vocab, read = trained(spark, rows.select("*", held.alias("held_out")), **sizes)
+    p, _ = hmm.baum_welch(read.where("NOT held_out"), hmm.first_parameters(vocab.first_counts(), 2), 3)
+    words = [(t or "").lower().split() + ["\n"] for t in texts]
+    counts = Counter(w for ws in words[:6] for w in ws)
+    order = sorted(counts, key=lambda w: (-counts[w], w))
+    symbol = lambda w: order.index(w) if w in order[:3] else 3 + hmm.class_of(w.encode(), 2)
+    for i, ws in enumerate(words):
+        path = 0.0
+        for z in itertools.product(range(2), repeat=len(ws)):
+            path += p.start[z[0]] * math.prod(p.move[a, b] for a, b in zip(z, z[1:])) * math.prod(p.emit[symbol(w), k] for w, k in zip(ws, z))
+        want = math.log10(path)
+        for w in ws:
+            if w not in order[:3]:
+                own = [x for x in order[3:] if symbol(x) == symbol(w)]
+                want += math.log10((counts[w] + 0.5) / (sum(counts[x] for x in own) + 0.5 * (len(own) + 1)))
+        assert math.isclose(got[i]["score"], want, rel_tol=1e-4)
+        assert got[i]["n_known"] == sum(counts[w] > 0 for w in ws)
+
+
+# ---- rows as they are, odd letters, no labels
+
+
+CLASHING = "1 AS score, 2 AS n, 3 AS _score, 4 AS _text, 5 AS _id, 6 AS _none, 7 AS _prior, 8 AS _host, 9 AS _path, 10 AS _logit, 11 AS site_share, 12 AS good, 13 AS _in0, 14 AS word, 15 AS _row"
+
+
+def test_stages_keep_rows_with_clashing_columns(spark, sf_dir):
+    from ambar.llm import decontaminate, near_dup
+
+    docs = setup(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    labels, items = spark.read.parquet(f"{sf_dir}/labels.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    more = docs.selectExpr("*", *CLASHING.split(", "))
+    toxic, good = toxicity.fit(docs, labels), site_quality.fit_evidence(docs, labels)
+    for stage in (lambda d: toxicity.clean_rows(d, toxic), lambda d: site_quality.good_rows(d, good), near_dup.first_rows, lambda d: decontaminate.clean_rows(d, items)):
+        out, plain = stage(more), stage(docs)
+        assert out.columns == more.columns and plain.columns == docs.columns
+        kept = out.collect()
+        assert {r["doc_id"] for r in kept} == {r["doc_id"] for r in plain.collect()}
+        assert all((r["score"], r["n"], r["_score"], r["_text"], r["_row"]) == (1, 2, 3, 4, 15) for r in kept)
+
+
+def test_without_labels_nothing_is_toxic(spark, sf_dir):
+    docs = setup(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert toxicity.clean_rows(docs, model).count() == docs.count()
+
+
+def test_numerals_are_no_letters(spark):
+    model = language_id.Model(["en", "fr"], np.zeros((2, language_id.BUCKETS + 1)), np.ones(language_id.BUCKETS))
+    assert [model.predict(t)[0] for t in ("½ ² Ⅷ ① 12 _", "", "½ a", "日本", "é")] == ["und", "und", "en", "en", "en"]
+
+
+def test_a_rare_language_is_in_the_sample(spark):
+    rows = spark.range(4000).selectExpr("'x' AS text", "CASE WHEN id % 100 = 0 THEN 'eo' ELSE 'en' END AS lang")
+    sizes = {r["lang"]: r["count"] for r in language_id.sample_by_language(rows, 200).groupBy("lang").count().collect()}
+    assert sizes["eo"] == 40 and 120 < sizes["en"] < 300
+
+
+def test_own_evidence_counts_once(spark):
+    """The posterior by hand: each document's site is that of the others."""
+    evidence = [("a", "a/x", 2.0), ("a", "a/x", -1.0), ("a", "a/y", 0.5), ("b", "b/", 1.5)]
+    frame = spark.createDataFrame(evidence, "_host string, _path string, _logit double")
+    sites, share = site_quality.site_posteriors(frame)
+    strengths = sites.select("_own", "_within").first()
+    p = [1 / (1 + math.exp(-x)) for _, _, x in evidence]
+    assert math.isclose(share, (sum(p) + 1) / 6, rel_tol=1e-6)
+    got = {round(r["_logit"], 3): r for r in site_quality._scored(frame, sites, share).collect()}
+    for i, (host, path, logit) in enumerate(evidence):
+        others = [(h, q, p[k]) for k, (h, q, _) in enumerate(evidence) if k != i]
+        mean = lambda found, prior, s: (sum(found) + s * prior) / (len(found) + s)
+        at_host = mean([x for h, _, x in others if h == host], share, strengths["_own"])
+        prior = mean([x for h, q, x in others if (h, q) == (host, path)], at_host, strengths["_within"])
+        assert math.isclose(got[logit]["site_share"], prior, rel_tol=1e-6)
+        want = logit + math.log(prior / (1 - prior)) - math.log(share / (1 - share))
+        assert math.isclose(got[logit]["score"], 1 / (1 + math.exp(-want)), rel_tol=1e-6)
