@@ -23,6 +23,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import itertools
+import json
 import math
 import re
 import uuid
@@ -39,11 +40,14 @@ from ambar.operators.joins import measured_bytes, salted_join
 SHARDS = 256
 TABLE_BYTES = 96 << 20
 KNOWN_PIECES, KNOWN_LINKS = 500_000, 8_000_000  # that a worker remembers
+LONG_PIECE = 500  # characters
 TOGETHER = 1024  # new pieces that are encoded as one text
 FLUSH_PAIRS = 4_000_000
 TEXTS = 256
 
 # A space begins a new piece where the character before it is not white space.
+# Fixed value: the pattern of byte-level vocabularies.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 find_pieces = re.compile(r" [^ ]*(?:(?<=\s) [^ ]*)*").findall
 
 
@@ -70,7 +74,15 @@ class Bytewise:
             self.tokens = [b""] * own.get_vocab_size()
             for token, i in own.get_vocab().items():
                 self.tokens[i] = bytes(value[c] for c in token) if all(c in value for c in token) else token.encode()
-            self.encode = lambda texts: [e.ids for e in own.encode_batch(texts, add_special_tokens=False)]
+            self.encode_long = lambda texts: [e.ids for e in own.encode_batch(texts, add_special_tokens=False)]
+            ranks = self.ranks(path)
+            if ranks is None:
+                self.encode = self.encode_long
+            else:
+                import tiktoken
+
+                quick = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+                self.encode = lambda texts: [quick.encode_ordinary(t) for t in texts]
         else:
             from sentencepiece import SentencePieceProcessor
 
@@ -81,9 +93,22 @@ class Bytewise:
             ]
             # The model adds the space before a text itself, but not before an empty one.
             space = [own.piece_to_id("▁")]
-            self.encode = lambda texts: [ids or space for ids in own.encode([t[1:] for t in texts], num_threads=1)]
+            self.encode = self.encode_long = lambda texts: [ids or space for ids in own.encode([t[1:] for t in texts], num_threads=1)]
         self.sizes = np.array([len(t) for t in self.tokens], np.int64)
 
+    def ranks(self, path: str) -> dict[bytes, int] | None:
+        """Bytes of the tokens by rank, where the file is the plain byte-level BPE that ranks describe: bytes first, then
+        one token per merge in the merges' order, and the usual pattern. Encoding by ranks gives the same ids, quicker."""
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        plain = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+        same = model["type"] == "BPE" and not model.get("ignore_merges") and all(model["vocab"].get(a + b) == 256 + k for k, (a, b) in enumerate(merges))
+        if not (plain and same and sorted(model["vocab"][c] for c in byte_values()) == list(range(256))):
+            return None
+        return {self.tokens[i]: i for i in range(256 + len(merges))}
+
 
 def align(a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray):
     """Linked places of two sequences of tokens over the same bytes, the ends of the stretches that each link covers, and
@@ -143,15 +168,16 @@ class Pieces:
         self.text += texts
 
     def learn(self, new: list[str]) -> None:
-        # Behind a piece that ends in white space, the next one's space would not begin a token.
-        alone = [p for p in new if p[-1].isspace()]
-        others = [p for p in new if not p[-1].isspace()]
+        # Behind a piece that ends in white space, the next one's space would not begin a token. Very long pieces go to the
+        # encoder whose time grows with their length only.
+        alone = [p for p in new if p[-1].isspace() or len(p) > LONG_PIECE]
+        others = [p for p in new if not (p[-1].isspace() or len(p) > LONG_PIECE)]
         groups = [others[k : k + TOGETHER] for k in range(0, len(others), TOGETHER)]
         joined = ["".join(g) for g in groups]
         for group, text, a, b in zip(groups, joined, self.a.encode(joined), self.b.encode(joined)):
             if not self.measure(group, text, a, b):
                 alone += group
-        for piece, a, b in zip(alone, self.a.encode(alone), self.b.encode(alone)):
+        for piece, a, b in zip(alone, self.a.encode_long(alone), self.b.encode_long(alone)):
             if not self.measure([piece], piece, a, b):
                 self.add([piece], np.zeros((1, len(VALUES)), np.int64), [np.empty(0, np.int64)], [None])
         self.look_up()
