@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ambar.llm.common import fold, kept_once, map_batches, table
-from ambar.operators.joins import sized_join
+from ambar.operators.joins import salted_join
 
 HOT = 8_000
 CLASSES = 1_024
@@ -90,7 +90,8 @@ def word_counts(train: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """The commonest words with their counts, the first ``hot`` of which are symbols of their own, and what the classes hold."""
+    """The commonest words with their counts, the first ``hot`` of which are symbols of their own, and what the classes hold.
+    Words of one count are known together or not at all."""
 
     words: list[bytes]  # by falling count
     counts: np.ndarray
@@ -163,11 +164,34 @@ def _class_rows(classes: int):
     return run
 
 
-def rarer_than(counts: DataFrame, word: bytes | None, n: int) -> DataFrame:
-    """The words behind ``word`` in the order of falling count; none without one."""
-    if word is None:
-        return counts.where(F.lit(False))
-    return counts.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word.decode())))
+def behind(counts: DataFrame, words: list[bytes], ns: np.ndarray, rank: int) -> DataFrame:
+    """The words behind the first ``rank`` of ``words`` in the order of falling count."""
+    last = min(rank, len(words)) - 1
+    if last < 0:
+        return counts
+    n, word = int(ns[last]), words[last].decode()
+    return counts.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word)))
+
+
+def least_known_size(counts: DataFrame, known: int) -> int:
+    """The least size class that, with all larger ones, has no more than ``known`` words.
+
+    Counts up to 1,024 are classes of their own and larger ones go by sixteenths of their logarithm, so that the driver
+    gets some thousand rows, and later ``known`` words at most, however many words there are and tasks that hold them.
+    """
+    sizes = {r["size"]: r["count"] for r in counts.groupBy(size_class().alias("size")).count().collect()}
+    total, least = 0, 1 << 20
+    for size in sorted(sizes, reverse=True):
+        total += sizes[size]
+        if total > known:
+            break
+        least = size
+    return least
+
+
+def size_class():
+    n = F.col("n")
+    return F.when(n <= 1024, n).otherwise((F.log2(n.cast("double")) * 16).cast("long") + 1024)
 
 
 def vocabulary(counts: DataFrame, hot: int = HOT, classes: int = CLASSES, known: int = KNOWN) -> Vocabulary:
@@ -175,9 +199,9 @@ def vocabulary(counts: DataFrame, hot: int = HOT, classes: int = CLASSES, known:
     if hot + classes > 65_536 or known < hot:
         raise ValueError("more symbols than 16 bits hold, or fewer known words than symbols")
     sums = counts.agg(F.sum("n"), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(known).collect()
+    top = sorted(counts.where(size_class() >= least_known_size(counts, known)).collect(), key=lambda r: (-r["n"], r["word"].encode()))
     words, ns = [r["word"].encode() for r in top], np.array([r["n"] for r in top], np.int64)
-    cold = rarer_than(counts, words[hot - 1], int(ns[hot - 1])) if len(words) >= hot else rarer_than(counts, None, 0)
+    cold = behind(counts, words, ns, hot)
     rows = map_batches(cold, _class_rows(classes), "k long, n long, v long").groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
     total, distinct = np.zeros(classes, np.int64), np.zeros(classes, np.int64)
     for r in rows:
@@ -444,8 +468,7 @@ def score_texts(
     # Words that are not among the known meet their counts.
     n, v = vocab.total, vocab.distinct
     rare = read.select("_row", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("_row", F.col("w.words").alias("word"), F.col("w.counts").alias("k"))
-    other = rarer_than(counts, vocab.words[-1], int(vocab.counts[-1])) if len(vocab.words) >= known else rarer_than(counts, None, 0)
-    met = sized_join(rare, other, ["word"], "left", rows_col="n").withColumn("c", F.coalesce("n", F.lit(0)))
+    met = salted_join(rare, behind(counts, vocab.words, vocab.counts, known), ["word"], "left", rows_col="n").withColumn("c", F.coalesce("n", F.lit(0)))
     sums = met.groupBy("_row").agg(
         F.sum(F.col("k") * F.log10(F.col("c") + 0.5)).alias("rare_log"), F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("rare_known"), F.sum("k").alias("rare_tokens")
     )

@@ -240,15 +240,17 @@ def test_scores_equal_enumeration_over_all_state_paths(spark, known):
     words = [(t or "").lower().split() + ["\n"] for t in texts]
     counts = Counter(w for ws in words[:6] for w in ws)
     order = sorted(counts, key=lambda w: (-counts[w], w))
-    symbol = lambda w: order.index(w) if w in order[:3] else 3 + hmm.class_of(w.encode(), 2)
+    hot = [w.decode() for w in vocab.words[:3]]
+    assert hot == order[: len(hot)] and len(vocab.words) <= known
+    symbol = lambda w: hot.index(w) if w in hot else 3 + hmm.class_of(w.encode(), 2)
     for i, ws in enumerate(words):
         path = 0.0
         for z in itertools.product(range(2), repeat=len(ws)):
             path += p.start[z[0]] * math.prod(p.move[a, b] for a, b in zip(z, z[1:])) * math.prod(p.emit[symbol(w), k] for w, k in zip(ws, z))
         want = math.log10(path)
         for w in ws:
-            if w not in order[:3]:
-                own = [x for x in order[3:] if symbol(x) == symbol(w)]
+            if w not in hot:
+                own = [x for x in order if x not in hot and symbol(x) == symbol(w)]
                 want += math.log10((counts[w] + 0.5) / (sum(counts[x] for x in own) + 0.5 * (len(own) + 1)))
         assert math.isclose(got[i]["score"], want, rel_tol=1e-4)
         assert got[i]["n_known"] == sum(counts[w] > 0 for w in ws)
@@ -309,3 +311,91 @@ def test_own_evidence_counts_once(spark):
         assert math.isclose(got[logit]["site_share"], prior, rel_tol=1e-6)
         want = logit + math.log(prior / (1 - prior)) - math.log(share / (1 - share))
         assert math.isclose(got[logit]["score"], 1 / (1 + math.exp(-want)), rel_tol=1e-6)
+
+
+# ---- brute force of the learned parts
+
+
+def test_label_model_equals_em_by_hand():
+    """Independent voters: each round by the definitions, row by row."""
+    random = np.random.default_rng(12)
+    y = random.random(300) < 0.4
+    votes = np.column_stack([np.where(random.random(300) < right, y, random.random(300) < 0.5) for right in (0.9, 0.6, 0.5)]).astype(int)
+    q = [0.9 if v[0] else 0.1 for v in votes]
+    for _ in range(25):
+        prior = [sum(1 - x for x in q) + 1, sum(q) + 1]
+        prior = [p / sum(prior) for p in prior]
+        share = {}
+        for k in range(3):
+            for c in (0, 1):
+                weight = [x if c else 1 - x for x in q]
+                tally = [sum(w for w, v in zip(weight, votes) if v[k] == a) + 0.5 for a in (0, 1)]
+                share[k, c] = [t / sum(tally) for t in tally]
+        new = []
+        for v in votes:
+            like = [prior[c] * math.prod(share[k, c][v[k]] for k in range(3)) for c in (0, 1)]
+            new.append(like[1] / sum(like))
+        done, q = max(abs(a - b) for a, b in zip(q, new)) < 1e-5, new
+        if done:
+            break
+    monkey = toxicity._tree
+    toxicity._tree = lambda v, counts, q: np.full(v.shape[1], -1)
+    try:
+        got = toxicity.fit_label_model(votes)
+    finally:
+        toxicity._tree = monkey
+    assert np.allclose(got, q, atol=1e-3)
+
+
+def test_tree_joins_the_strongest_pairs():
+    random = np.random.default_rng(2)
+    base = random.random((4000, 3)) < 0.5
+    v = np.column_stack([base[:, 0], base[:, 1], base[:, 1], base[:, 2]]).astype(np.int64)
+    parent = toxicity._tree(v, np.ones(len(v)), np.full(len(v), 0.5))
+    assert parent[0] == -1 and {1, 2} == {k for k in (1, 2) if parent[k] in (1, 2)} | {next(k for k in (1, 2) if parent[k] == -1)} and parent[3] == -1
+
+
+def test_linear_classifier_is_at_its_optimum():
+    random = np.random.default_rng(5)
+    found = [np.flatnonzero(random.random(6) < 0.4) for _ in range(400)]
+    target = np.array([1 / (1 + math.exp(-(2.0 * (0 in f) - 1.5 * (3 in f) - 0.3))) for f in found])
+    w, b = toxicity.fit_linear(found, target, 6)
+    p = np.array([1 / (1 + math.exp(-(b + sum(w[k] for k in f)))) for f in found])
+    for k in range(6):
+        assert abs(sum((p[i] - target[i]) for i, f in enumerate(found) if k in f)) / len(found) < 1e-3
+    assert abs(w[0] - 2.0) < 0.05 and abs(w[3] + 1.5) < 0.05 and abs(b + 0.3) < 0.05
+
+
+def test_entries_of_one_root_share_a_voter():
+    features = ["w:idiot@1", "4:idio@1", "w:idiots@2", "w:fool@1", "3:foo@1", "w:bar@1"]
+    voters = toxicity.voters_of(features, list(range(6)))
+    assert voters == {0: "idio:once", 1: "idio:once", 2: "idio:often", 3: "foo:once", 4: "foo:once", 5: "bar:once"}
+
+
+def test_ftrl_equals_single_steps():
+    random = np.random.default_rng(9)
+    rows = [(np.sort(random.choice(50, 4, replace=False)), random.random(4)) for _ in range(30)]
+    target = random.integers(0, 3, 30)
+    got = language_id.train_ftrl(rows, target, 3, alpha=0.7, beta=1.0, l1=0.02, l2=0.1, epochs=2, seed=1)
+    z, n = {}, {}
+
+    def weight(c, k):
+        v = z.get((c, k), 0.0)
+        return 0.0 if abs(v) <= 0.02 else -(v - math.copysign(0.02, v)) / ((1.0 + math.sqrt(n.get((c, k), 0.0))) / 0.7 + 0.1)
+
+    order = np.random.default_rng(1)
+    for _ in range(2):
+        for i in order.permutation(30):
+            x = [*zip(rows[i][0].tolist(), rows[i][1].tolist()), (language_id.BUCKETS, 1.0)]
+            old = {(c, k): weight(c, k) for c in range(3) for k, _ in x}
+            scores = [sum(old[c, k] * v for k, v in x) for c in range(3)]
+            top = [math.exp(s - max(scores)) for s in scores]
+            for c in range(3):
+                error = top[c] / sum(top) - (target[i] == c)
+                for k, v in x:
+                    g, before = error * v, n.get((c, k), 0.0)
+                    z[c, k] = z.get((c, k), 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / 0.7 * old[c, k]
+                    n[c, k] = before + g * g
+    for c in range(3):
+        for k in [*range(50), language_id.BUCKETS]:
+            assert math.isclose(got[c, k], weight(c, k), rel_tol=1e-9, abs_tol=1e-12)
