@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ambar.fixed import ATTENDANCE_EDGES, ATTENDANCE_LABELS, INDICATOR_FEATURES, SCHOOL_SIZE_EDGES, SCHOOL_SIZE_LABELS
@@ -157,6 +157,68 @@ def add_history(
     return sized_join(out, state, ["sigla_uf", "rede", *period], "left", limit_bytes)
 
 
+# --- Fixed values: two-digit codes of the states and their letters ---------------------------
+STATE_LETTERS = {
+    "11": "RO", "12": "AC", "13": "AM", "14": "RR", "15": "PA", "16": "AP", "17": "TO", "21": "MA", "22": "PI", "23": "CE", "24": "RN", "25": "PB",
+    "26": "PE", "27": "AL", "28": "SE", "29": "BA", "31": "MG", "32": "ES", "33": "RJ", "35": "SP", "41": "PR", "42": "SC", "43": "RS", "50": "MS",
+    "51": "MT", "52": "GO", "53": "DF",
+}
+
+
+def state_key(code: Column, targets_use: str = "codes") -> Column:
+    """The state as the targets name it: its code, or its letters (NULL for an unknown code)."""
+    if targets_use == "codes":
+        return code
+    if targets_use != "letters":
+        raise ValueError(f"unknown kind of state name {targets_use!r}")
+    return F.element_at(F.create_map(*[F.lit(x) for pair in STATE_LETTERS.items() for x in pair]), code)
+
+
+class MatchRate:
+    """How many rows of a join found their match, counted while the join's rows pass by (no scan of its own).
+
+    ``frame`` is the observed join. After an action on it, :meth:`rate` gives the share, and :meth:`require` raises where
+    too few rows matched: a join on keys of another kind would otherwise only show as empty columns.
+    """
+
+    def __init__(self, joined: DataFrame, found: Column, name: str):
+        self.name, self.seen = name, Observation(name)
+        self.frame = joined.observe(self.seen, F.count("*").alias("n_rows"), F.count(F.when(found, 1)).alias("n_matched"))
+
+    def counts(self) -> tuple[int, int]:
+        got = self.seen.get
+        return got["n_rows"], got["n_matched"]
+
+    def rate(self) -> float:
+        rows, matched = self.counts()
+        return matched / rows if rows else 1.0
+
+    def require(self, least: float = 0.0) -> float:
+        """The rate; raises if rows went through the join and no more than ``least`` of them matched."""
+        rate = self.rate()
+        if self.counts()[0] and rate <= least:
+            raise ValueError(f"{self.name}: {rate:.1%} of the rows found a match; are the keys of one kind?")
+        return rate
+
+
+def enrich_indicators_observed(df: DataFrame, indicators: DataFrame, keys: list[str], **options) -> MatchRate:
+    """:func:`enrich_indicators` with the share of rows that found indicators."""
+    joined = enrich_indicators(df, indicators.withColumn("_found", F.lit(True)), keys, [*options.pop("columns", INDICATOR_FEATURES), "_found"], **options)
+    mark = f"{options.get('prefix', 'mun_')}_found"
+    rate = MatchRate(joined, F.col(mark), "indicators")
+    rate.frame = rate.frame.drop(mark)
+    return rate
+
+
+def enrich_targets_observed(df: DataFrame, targets: DataFrame, years: list[int], targets_use: str = "codes", limit_bytes: int = BROADCAST_BYTES) -> MatchRate:
+    """:func:`enrich_targets` with the share of rows that found targets, for targets keyed by codes or by letters."""
+    wide = materialise(widen_targets(targets, years).withColumn("_found", F.lit(True)).withColumnRenamed("sigla_uf", "_state"))
+    joined = sized_join(df.withColumn("_state", state_key(F.col("sigla_uf"), targets_use)), wide, ["_state"], "left", limit_bytes)
+    rate = MatchRate(joined.drop("_state"), F.col("_found"), "targets")
+    rate.frame = rate.frame.drop("_found")
+    return rate
+
+
 def gap_to_target(features: DataFrame, targets: DataFrame, target_year: int) -> DataFrame:
     """Observed rate minus the state's target of one year, per municipality row."""
     wide = materialise(widen_targets(targets, [target_year], prefix="meta_"))

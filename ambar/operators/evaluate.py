@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ambar.fixed import CRITICAL_RISK, CUTS, RISK_EDGES, RISK_LABELS
-from ambar.functions.scalars import bands, ratio, share
+from ambar.functions.scalars import bands, no_nan, ratio, share
 from ambar.operators.profile import with_percent
-from ambar.operators.running import running_totals, with_rank
+from ambar.operators.running import next_values, running_totals, with_rank
 from ambar.session import materialise
 
 
@@ -82,7 +82,7 @@ def score_counts(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     return (
         scored.where(F.col("score").isNotNull())
         .groupBy(*(by or []), "score")
-        .agg(F.count(F.when(F.col("label") == 1, 1)).alias("pos"), F.count(F.when(F.col("label") == 0, 1)).alias("neg"))
+        .agg(*_classes())
     )
 
 
@@ -119,6 +119,73 @@ def roc_curve(scored: DataFrame) -> DataFrame:
     return points.unionByName(start)
 
 
+def roc_curve_compact(scored: DataFrame) -> DataFrame:
+    """The corners of the ROC curve: points on a straight line between their neighbours are left out.
+
+    The area under it is that of the full curve. A point goes if the counts of its score and of the next lower one point
+    in the same direction; the neighbour is found in even slices, not in a single-task window.
+    """
+    run = running_totals(score_counts(scored), [F.desc("score")], ["pos", "neg"])
+    run = next_values(run, [F.desc("score")], ["pos", "neg"])
+    straight = F.col("pos") * F.col("next_neg") == F.col("next_pos") * F.col("neg")
+    corners = run.where(F.col("next_pos").isNull() | ~straight).select(
+        share(F.col("neg_run"), F.col("neg_total")).alias("fpr"), share(F.col("pos_run"), F.col("pos_total")).alias("tpr"), F.col("score").alias("threshold"),
+    )
+    start = scored.sparkSession.range(1).select(F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), F.lit(float("inf")).alias("threshold"))
+    return corners.unionByName(start)
+
+
+def curve_area(curve: DataFrame) -> DataFrame:
+    """Area under a curve of (fpr, tpr, threshold) points by trapezoids."""
+    ahead = next_values(curve, [F.desc("threshold")], ["fpr", "tpr"])
+    strip = (F.col("next_fpr") - F.col("fpr")) * (F.col("next_tpr") + F.col("tpr")) / 2
+    return ahead.agg(F.sum(strip).alias("area"), F.count("*").alias("n_points"))
+
+
+def metrics_rollup(scored: DataFrame, by: list[str]) -> DataFrame:
+    """Basic metrics per combination of ``by``, per prefix of it, and in total, from one scan.
+
+    ``level`` is the number of group columns that a row keeps; those it sums over are NULL. (A group whose value is missing
+    is NULL too, at its own level.)
+    """
+    cells = {"tn": (0, 0), "fp": (0, 1), "fn": (1, 0), "tp": (1, 1)}
+    counts = [F.count(F.when((F.col("label") == label) & (F.col("prediction") == p), 1)).alias(name) for name, (label, p) in cells.items()]
+    level = sum((1 - F.grouping(c) for c in by[1:]), 1 - F.grouping(by[0])).cast("int").alias("level")
+    rolled = scored.rollup(*by).agg(level, F.count("*").alias("n_rows"), *counts)
+    return rolled.select(*by, "level", "n_rows", *[rate.alias(name) for name, rate in _rates().items()])
+
+
+def leakage_screen(df: DataFrame, label: str, columns: list[str], suspect: float = 0.95) -> DataFrame:
+    """How well each column alone tells the label: (column, n_known, roc_auc, separation, suspicious), strongest first.
+
+    The areas of all columns come from one scan: rows are turned into (column, value), counted by value, and totalled per
+    column in even slices. Text columns count by the label rate of their values, as a tree would split them; that favours
+    columns of many values (ids), which are just what has to be looked at. ``separation`` is the area, or one less it.
+    """
+    kinds = dict(df.dtypes)
+    numbers, texts = [c for c in columns if kinds[c] != "string"], [c for c in columns if kinds[c] == "string"]
+    value = lambda c: no_nan(F.col(f"`{c}`").cast("double"))
+    parts = []
+    if numbers:
+        entries = F.array(*[F.struct(F.lit(c).alias("column"), value(c).alias("score")) for c in numbers])
+        parts.append(df.select(F.inline(entries), F.col(label).alias("label")).where("score IS NOT NULL").groupBy("column", "score").agg(*_classes()))
+    if texts:
+        entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in texts])
+        counted = df.select(F.inline(entries), F.col(label).alias("label")).where("value IS NOT NULL").groupBy("column", "value").agg(*_classes())
+        rate = share(F.col("pos"), F.col("pos") + F.col("neg"))
+        parts.append(counted.withColumn("score", rate).where("score IS NOT NULL").groupBy("column", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
+    run = running_totals(reduce(DataFrame.unionByName, parts), ["score"], ["pos", "neg"], ["column"])
+    won = F.col("pos") * (F.col("neg_run") - F.col("neg") / 2)
+    pairs = F.max("pos_total").cast("double") * F.max("neg_total")
+    areas = run.groupBy("column").agg(F.sum(F.col("pos") + F.col("neg")).alias("n_known"), F.try_divide(F.sum(won), F.nullif(pairs, F.lit(0.0))).alias("roc_auc"))
+    apart = F.greatest(F.col("roc_auc"), 1 - F.col("roc_auc"))
+    return areas.select("*", apart.alias("separation"), (apart >= suspect).alias("suspicious")).orderBy(F.desc("separation"), "column")
+
+
+def _classes() -> tuple[Column, Column]:
+    return F.count(F.when(F.col("label") == 1, 1)).alias("pos"), F.count(F.when(F.col("label") == 0, 1)).alias("neg")
+
+
 def metrics_by_threshold(scored: DataFrame) -> DataFrame:
     """precision, recall and f1_score when every distinct score in turn is the cut."""
     run = running_totals(score_counts(scored), [F.desc("score")], ["pos", "neg"])

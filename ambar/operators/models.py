@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ambar.fixed import CV_FOLDS, PRESETS
 from ambar.operators.columns import constant_columns, drop_columns, roles
 from ambar.operators.evaluate import compare_models, roc_auc
-from ambar.operators.prep import TabularPreprocessor, feature_names
+from ambar.operators.prep import TabularModel, TabularPreprocessor
 from ambar.operators.running import cumulative_share
 from ambar.session import small_frame, stored
 
@@ -81,21 +81,28 @@ def gathered(train: DataFrame) -> DataFrame:
     return train.coalesce(max(1, -(-train.count() // ROWS_PER_TASK)))
 
 
-def cross_validate(
+def cross_fit(
     pipeline: Pipeline, folded: DataFrame, label: str, fold: str = "fold", folds: int = CV_FOLDS, parallelism: int = 4
 ) -> DataFrame:
-    """Area under the ROC curve per fold, each scored by a model of the other folds: (fold, roc_auc).
+    """Every row's score by the model of the folds that it is not in: the evaluation frame with ``fold``.
 
     The folded rows are stored by fold, so each fit prunes its own fold from the scan; ``parallelism`` folds are
-    fitted at a time.
+    fitted at a time. The result is stored too, so that cuts, bands and alerts read scores and not models.
     """
     table, out = stored(folded, [fold]), None
     with ThreadPool(parallelism) as pool:
         fitted = pool.map(lambda i: fit(pipeline, table.where(F.col(fold) != i)), range(folds))
     for i, model in enumerate(fitted):
-        part = score(model, table.where(F.col(fold) == i), label).select(fold, "label", "score")
+        part = score(model, table.where(F.col(fold) == i), label)
         out = part if out is None else out.unionByName(part)
-    return roc_auc(out, [fold])
+    return stored(out)
+
+
+def cross_validate(
+    pipeline: Pipeline, folded: DataFrame, label: str, fold: str = "fold", folds: int = CV_FOLDS, parallelism: int = 4
+) -> DataFrame:
+    """Area under the ROC curve per fold, each scored by a model of the other folds: (fold, roc_auc)."""
+    return roc_auc(cross_fit(pipeline, folded, label, fold, folds, parallelism).select(fold, "label", "score"), [fold])
 
 
 def cv_summary(per_fold: DataFrame) -> DataFrame:
@@ -113,22 +120,23 @@ def train_model(
     return fit(pipeline, train), per_fold
 
 
-def feature_importance(model: PipelineModel, sample: DataFrame, top_n: int | None = 15) -> DataFrame:
-    """(feature, importance), highest first. ``sample`` only lends its columns; it is not read."""
-    vectors = model.stages[0].transform(sample)
-    names = feature_names(vectors)
-    values = [float(v) for v in model.stages[-1].featureImportances.toArray()]
-    if len(names) != len(values):
-        names = [f"feature_{i}" for i in range(len(values))]
-    schema = T.StructType([T.StructField("feature", T.StringType()), T.StructField("importance", T.DoubleType())])
-    table = small_frame(sample.sparkSession, list(zip(names, values)), schema)
-    ranked = table.orderBy(F.desc("importance"), "feature")
+def feature_importance(model: PipelineModel, top_n: int | None = 15) -> DataFrame:
+    """(feature, importance), highest first. Names come from the fitted preprocessor's dictionary by a join on position."""
+    prep = next(stage for stage in model.stages if isinstance(stage, TabularModel))
+    values = model.stages[-1].featureImportances
+    found = {int(i): float(v) for i, v in zip(values.indices, values.values)} if hasattr(values, "indices") else dict(enumerate(map(float, values)))
+    names = prep.names()
+    schema = T.StructType([T.StructField("position", T.LongType()), T.StructField("importance", T.DoubleType())])
+    table = small_frame(names.sparkSession, list(found.items()), schema)
+    # As many values as the trees have splits at most.
+    named = names.join(F.broadcast(table), "position", "left").select("feature", F.coalesce("importance", F.lit(0.0)).alias("importance"))
+    ranked = named.orderBy(F.desc("importance"), "feature")
     return ranked.limit(top_n) if top_n else ranked
 
 
-def importance_cumulative(model: PipelineModel, sample: DataFrame, covers: list[float]) -> tuple[DataFrame, DataFrame]:
+def importance_cumulative(model: PipelineModel, covers: list[float]) -> tuple[DataFrame, DataFrame]:
     """Running share of importance, and how many features reach each cover."""
-    return cumulative_share(feature_importance(model, sample, None), "feature", "importance", covers)
+    return cumulative_share(feature_importance(model, None), "feature", "importance", covers)
 
 
 def leakage_experiment(

@@ -1,15 +1,25 @@
-"""Preprocessing fitted on train rows: exact median and constant imputation, scaling, one-hot, vectors."""
+"""Preprocessing fitted on train rows: exact median and constant imputation, scaling, one-hot, vectors.
+
+Categories are encoded by a stored dictionary, a table of (column, value, index) that is ranked and kept distributed, so a
+column may have any number of them. Their values never come to the driver: rows meet their indices in a join that is a
+broadcast where the dictionary is small and spreads hot values where it isn't.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+import json
+import uuid
+
+from pyspark.ml import Estimator, Model
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, VectorAssembler
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ambar.operators.running import exact_quantiles
-
-MAX_CATEGORIES = 10_000
+from ambar.operators.joins import BROADCAST_BYTES, measured_bytes, salted_join
+from ambar.operators.running import exact_quantiles, running_totals
+from ambar.session import checkpoint_dir, small_frame, stored
 
 
 def medians(train: DataFrame, columns: list[str]) -> dict[str, float]:
@@ -46,78 +56,167 @@ def standard_scale(train: DataFrame, df: DataFrame, columns: list[str], suffix:
     return df.withColumns({f"{c}{suffix}": (F.col(c) - F.lit(stats[c][0])) / F.lit(stats[c][1]) for c in columns})
 
 
-def categories(train: DataFrame, column: str, limit: int = MAX_CATEGORIES) -> list[str]:
-    """Sorted categories of a column. A column with more than ``limit`` is an id, not a category."""
-    rows = train.where(F.col(column).isNotNull()).select(F.col(column).cast("string")).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} categories; drop it before modelling")
-    return sorted(r[0] for r in rows)
+def category_dictionary(train: DataFrame, columns: list[str], fill: str | None = None) -> DataFrame:
+    """(column, value, index, n): each column's distinct values as text, numbered from 0 in their order, and their rows.
+
+    Missing values count as ``fill``, or not at all. Values are counted with map-side combination and numbered in even
+    range slices; the table is stored by column.
+    """
+    text = [F.col(f"`{c}`").cast("string") for c in columns]
+    filled = [t if fill is None else F.coalesce(t, F.lit(fill)) for t in text]
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in zip(columns, filled)])
+    counted = train.select(F.inline(entries)).where("value IS NOT NULL").groupBy("column", "value").agg(F.count("*").alias("n"))
+    ranked = running_totals(counted.withColumn("one", F.lit(1)), ["value"], ["one"], ["column"])
+    return stored(ranked.select("column", "value", (F.col("one_run") - 1).cast("long").alias("index"), "n"), ["column"])
+
+
+def dictionary_sizes(dictionary: DataFrame) -> dict[str, int]:
+    """Number of values of each column."""
+    return {r["column"]: r["count"] for r in dictionary.groupBy("column").count().collect()}
+
+
+def index_categories(df: DataFrame, dictionary: DataFrame, column: str, size: int, out: str, broadcast: bool, fill: str | None = None) -> DataFrame:
+    """Add the index of ``column``'s value; ``size``, one more than the last index, for a value that isn't known."""
+    key = f"__{out}_value"
+    side = dictionary.where(F.col("column") == column).select(F.col("value").alias(key), F.col("index").alias(f"__{out}"), "n")
+    value = F.col(f"`{column}`").cast("string")
+    keyed = df.withColumn(key, value if fill is None else F.coalesce(value, F.lit(fill)))
+    if broadcast:
+        met = keyed.join(F.broadcast(side.drop("n")), key, "left")
+    else:
+        met = salted_join(keyed, side.withColumnRenamed("n", f"__{out}_n"), [key], "left", rows_col=f"__{out}_n").drop(f"__{out}_n")
+    return met.withColumn(out, F.coalesce(f"__{out}", F.lit(size)).cast("double")).drop(key, f"__{out}")
 
 
 def one_hot(train: DataFrame, df: DataFrame, column: str) -> DataFrame:
-    """One 0/1 column per train category, named ``<column>_<value>``; unseen categories are all zeros."""
-    return df.withColumns(
-        {
-            f"{column}_{value}": F.coalesce((F.col(column) == value).cast("int"), F.lit(0))
-            for value in categories(train, column)
-        }
-    )
+    """One 0/1 column per train category, named ``<column>_<value>``; unseen categories are all zeros.
+
+    Column names are part of a plan, so this form is for columns of few categories. :func:`one_hot_vector` takes any number.
+    """
+    values = [r["value"] for r in category_dictionary(train, [column]).orderBy("value").select("value").collect()]
+    return df.withColumns({f"{column}_{v}": F.coalesce((F.col(column) == v).cast("int"), F.lit(0)) for v in values})
+
+
+def one_hot_vector(train: DataFrame, df: DataFrame, column: str, out: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """A sparse 0/1 vector per row, and the dictionary (value, index) that names its entries."""
+    out = out or f"{column}_hot"
+    model = TabularPreprocessor([], [column], output=out).fit(train)
+    return model.transform(df), model.names().select(F.col("position").alias("index"), F.col("feature"))
 
 
 class TabularPreprocessor(Estimator):
     """Numeric branch (median, scaling) and categorical branch (constant, one-hot) into one vector.
 
-    Other columns stay out of the vector. Fitting gives a plain ``PipelineModel`` of built-in stages, so a
-    fitted pipeline can be saved and loaded. Statistics come from the rows it is fitted on, hence inside
-    cross-validation from the training folds alone.
+    Other columns stay out of the vector. Statistics come from the rows it is fitted on, hence inside cross-validation
+    from the training folds alone. Categories have no limit.
     """
 
-    def __init__(
-        self, numeric: list[str], categorical: list[str], fill: str = "missing", output: str = "features",
-        max_categories: int = MAX_CATEGORIES,
-    ):
+    def __init__(self, numeric: list[str], categorical: list[str], fill: str = "missing", output: str = "features", limit_bytes: int | None = None):
         super().__init__()
         self.numeric, self.categorical = list(numeric), list(categorical)
-        self.fill, self.output, self.max_categories = fill, output, max_categories
+        self.fill, self.output = fill, output
+        self.limit_bytes = BROADCAST_BYTES if limit_bytes is None else limit_bytes
 
-    def _fit(self, dataset: DataFrame) -> PipelineModel:
-        clean = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in self.numeric}
+    def _fit(self, dataset: DataFrame) -> TabularModel:
+        clean = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in self.numeric}
         fill = medians(dataset, self.numeric)
-        stats = scale_stats(dataset, {c: F.coalesce(v, F.lit(fill[c])) for c, v in clean.items()})
-        numbers = [
-            f"(coalesce(nanvl(cast(`{c}` as double), cast(null as double)), {fill[c]!r}D) - {stats[c][0]!r}D)"
-            f" / {stats[c][1]!r}D AS `{c}__num`"
-            for c in self.numeric
-        ]
-        text = self.fill.replace("'", "\\'")
-        texts = [f"coalesce(cast(`{c}` as string), '{text}') AS `{c}__cat`" for c in self.categorical]
-        stages = [SQLTransformer(statement="SELECT " + ", ".join(["*", *numbers, *texts]) + " FROM __THIS__")]
+        scales = scale_stats(dataset, {c: F.coalesce(v, F.lit(fill[c])) for c, v in clean.items()})
+        model = TabularModel(self.numeric, self.categorical, self.fill, self.output)
+        model.numbers = {c: [fill[c], *scales[c]] for c in self.numeric}
         if self.categorical:
-            self._check_categories(dataset)
-            indexer = StringIndexer(
-                inputCols=[f"{c}__cat" for c in self.categorical],
-                outputCols=[f"{c}__idx" for c in self.categorical],
-                handleInvalid="keep",
-                stringOrderType="alphabetAsc",
-            ).fit(stages[0].transform(dataset))
-            # The slot kept for unseen categories is last, and dropping it encodes them as zeros.
-            encoder = OneHotEncoder(
-                inputCols=indexer.getOutputCols(), outputCols=[f"{c}__hot" for c in self.categorical], dropLast=True
-            ).fit(indexer.transform(stages[0].transform(dataset)))
-            stages += [indexer, encoder]
+            model.dictionary = category_dictionary(dataset, self.categorical, self.fill)
+            found = dictionary_sizes(model.dictionary)
+            model.sizes = {c: found.get(c, 0) for c in self.categorical}
+            model.broadcast = measured_bytes(model.dictionary) <= self.limit_bytes
+            model.encoder = fixed_encoder(dataset.sparkSession, model.sizes)
+        return model
+
+
+def fixed_encoder(spark, sizes: dict[str, int]) -> OneHotEncoderModel:
+    """An encoder of as many entries as each column has categories. The index of unknown ones, behind the last, gives zeros."""
+    schema = T.StructType([T.StructField(f"{c}__idx", T.DoubleType()) for c in sizes])
+    last = small_frame(spark, [tuple(float(n) for n in sizes.values())], schema)
+    return OneHotEncoder(inputCols=schema.names, outputCols=[f"{c}__hot" for c in sizes], dropLast=True).fit(last)
+
+
+class TabularModel(Model, MLWritable, MLReadable):
+    """The fitted preprocessor: statistics of numbers, and the dictionary of categories with its encoder."""
+
+    def __init__(self, numeric=(), categorical=(), fill: str = "missing", output: str = "features"):
+        super().__init__()
+        self.numeric, self.categorical, self.fill, self.output = list(numeric), list(categorical), fill, output
+        self.numbers: dict[str, list[float]] = {}
+        self.sizes: dict[str, int] = {}
+        self.broadcast = True
+        self.dictionary: DataFrame | None = None
+        self.encoder: OneHotEncoderModel | None = None
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        added = {}
+        for c, (fill, mean, deviation) in self.numbers.items():
+            value = F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double"))
+            added[f"{c}__num"] = (F.coalesce(value, F.lit(fill)) - F.lit(mean)) / F.lit(deviation)
+        out = dataset.withColumns(added) if added else dataset
+        for c in self.categorical:
+            out = index_categories(out, self.dictionary, c, self.sizes[c], f"{c}__idx", self.broadcast, self.fill)
+        if self.categorical:
+            out = self.encoder.transform(out)
         inputs = [f"{c}__num" for c in self.numeric] + [f"{c}__hot" for c in self.categorical]
-        stages.append(VectorAssembler(inputCols=inputs, outputCol=self.output, handleInvalid="error"))
-        return PipelineModel(stages)
+        return VectorAssembler(inputCols=inputs, outputCol=self.output, handleInvalid="error").transform(out)
+
+    def names(self) -> DataFrame:
+        """(position, feature): the names of the vector's entries, ``column`` or ``column_value``."""
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.getActiveSession() if self.dictionary is None else self.dictionary.sparkSession
+        schema = T.StructType([T.StructField("position", T.LongType()), T.StructField("feature", T.StringType())])
+        out = small_frame(spark, [(i, c) for i, c in enumerate(self.numeric)], schema)
+        start = len(self.numeric)
+        for c in self.categorical:
+            own = self.dictionary.where(F.col("column") == c)
+            out = out.unionByName(own.select((F.col("index") + start).alias("position"), F.concat_ws("_", F.lit(c), "value").alias("feature")))
+            start += self.sizes[c]
+        return out
 
-    def _check_categories(self, dataset: DataFrame) -> None:
-        sizes = dataset.agg(*[F.approx_count_distinct(c).alias(c) for c in self.categorical]).first()
-        wide = [c for c in self.categorical if sizes[c] > self.max_categories]
-        if wide:
-            raise ValueError(f"{wide} have more than {self.max_categories} categories; drop them before modelling")
+    def width(self) -> int:
+        return len(self.numeric) + sum(self.sizes.values())
 
+    def write(self) -> MLWriter:
+        return _Writer(self)
 
-def feature_names(vectors: DataFrame, column: str = "features") -> list[str]:
-    """Names of the vector's entries, ``column`` or ``column_value``, from its metadata."""
-    attributes = vectors.schema[column].metadata.get("ml_attr", {}).get("attrs", {})
-    named = sorted((a["idx"], a["name"]) for group in attributes.values() for a in group)
-    return [name.replace("__num", "", 1) if name.endswith("__num") else name.replace("__hot_", "_", 1) for _, name in named]
+    @classmethod
+    def read(cls) -> MLReader:
+        return _Reader()
+
+
+class _Writer(MLWriter):
+    def __init__(self, model: TabularModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        m = self.model
+        own = {"numeric": m.numeric, "categorical": m.categorical, "fill": m.fill, "output": m.output, "numbers": m.numbers, "sizes": m.sizes, "broadcast": m.broadcast}
+        DefaultParamsWriter.saveMetadata(m, path, self.sparkSession, extraMetadata={"tabular": json.dumps(own)})
+        if m.categorical:
+            m.dictionary.write.partitionBy("column").parquet(f"{path}/dictionary")
+            m.encoder.save(f"{path}/encoder")
+
+
+class _Reader(MLReader):
+    def load(self, path: str) -> TabularModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        own = json.loads(metadata["tabular"])
+        model = TabularModel(own["numeric"], own["categorical"], own["fill"], own["output"])
+        model._resetUid(metadata["uid"])
+        model.numbers, model.sizes, model.broadcast = own["numbers"], own["sizes"], own["broadcast"]
+        if model.categorical:
+            schema = "value string, index long, n long, column string"
+            model.dictionary = self.sparkSession.read.schema(schema).parquet(f"{path}/dictionary")
+            model.encoder = OneHotEncoderModel.load(f"{path}/encoder")
+        return model
+
+
+def new_path(spark, name: str) -> str:
+    """A new folder for something that is saved, below the checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -51,6 +51,25 @@ def running_totals(df: DataFrame, order: list[Column | str], values: list[str],
     )
 
 
+def next_values(df: DataFrame, order: list[Column | str], columns: list[str]) -> DataFrame:
+    """Add ``next_<c>``, the value of ``c`` in the row that follows in ``order`` over the whole table (NULL for the last).
+
+    Even range slices as in :func:`running_totals`: inside a slice a window looks ahead, and its last row takes the first
+    values of the slice behind. ``order`` must be free of ties.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [_name(c) for c in order]
+    staged = materialise(df.repartitionByRange(parts, *order).withColumn("_slice", F.spark_partition_id()))
+    inside = Window.partitionBy("_slice").orderBy(*order)
+    local = staged.select("*", F.struct(*columns).alias("_own"), F.row_number().over(inside).alias("_place"), F.lead(F.struct(*columns)).over(inside).alias("_ahead"))
+    local = materialise(local)
+    # One row per slice: few, whatever the size of the table.
+    behind = F.lead("_own").over(Window.orderBy("_slice"))
+    firsts = local.where("_place = 1").select("_slice", "_own").select("_slice", behind.alias("_behind"))
+    found = F.coalesce("_ahead", "_behind")
+    return local.join(F.broadcast(firsts), "_slice").select(*df.columns, *[found[c].alias(f"next_{c}") for c in columns])
+
+
 ACCURACY = 10_000
 
 

@@ -72,15 +72,18 @@ def stratified_folds(
     are numbered inside buckets, and the bucket counts shift the numbers. One exchange of the rows.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = min(24, (partitions * BUCKETS_PER_PARTITION - 1).bit_length())
-    keyed = df.withColumn("_hash", hash32(key, seed)).withColumn("_bucket", F.shiftright("_hash", 32 - bits).cast("int"))
+    # The hash has 32 bits, so no more buckets than that are there to be had.
+    bits = min(31, (partitions * BUCKETS_PER_PARTITION - 1).bit_length())
+    # Rows without a key are spread by their content; by the empty key they would all meet in one bucket.
+    own = F.col(key) if isinstance(key, str) else key
+    spread = F.coalesce(own.cast("string"), F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string")))
+    keyed = df.withColumn("_hash", hash32(spread, seed)).withColumn("_bucket", F.shiftright("_hash", 32 - bits).cast("int"))
     # A label may be missing; inside a struct it still finds its own counts.
     place = F.struct(label, "_bucket").alias("_place")
     counts = keyed.groupBy(label, "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = materialise(counts.select(place, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
-    tie = F.col(key) if isinstance(key, str) else key
-    inside = Window.partitionBy(label, "_bucket").orderBy("_hash", tie)
+    inside = Window.partitionBy(label, "_bucket").orderBy("_hash", own)
     numbered = keyed.withColumn("_row", F.row_number().over(inside)).withColumn("_place", place)
     position = F.col("_start") + F.col("_row") - 1
     return (

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ambar.fixed import SEARCH_DRAWS, SEARCH_FOLDS, SEARCH_SPACE, SEED
-from ambar.operators.models import booster
+from ambar.fixed import PRESETS, SEARCH_DRAWS, SEARCH_FOLDS, SEARCH_SPACE, SEED
+from ambar.operators.models import booster, gathered
 from ambar.operators.prep import TabularPreprocessor
 from ambar.session import small_frame, stored
 
@@ -32,6 +32,7 @@ def draw_candidates(space: dict[str, list], draws: int, seed: int) -> list[dict]
 
 # Drawn by the reference space but without effect here: the booster has no such penalties.
 NOT_APPLIED = ("reg_alpha", "reg_lambda")
+HELD = "held_back"
 
 
 def random_search(
@@ -44,37 +45,54 @@ def random_search(
     folds: int = SEARCH_FOLDS,
     fold: str = "fold",
     seed: int = SEED,
-    parallelism: int = 4,
+    parallelism: int = 8,
+    early_stop: float | None = 0.01,
+    rungs: int = 1,
     **overrides,
 ) -> tuple[PipelineModel, DataFrame]:
     """Best model refitted on all rows, and the candidates ranked by mean AUC over folds, as they were fitted.
 
     Draws are distinct in the parameters that have an effect and that ``overrides`` leaves open. The preprocessor
     is fitted once per fold and its vectors are shared by all candidates, which are fitted ``parallelism`` at a time.
+
+    Every candidate is fitted in every fold. With ``early_stop`` a fit adds trees until the loss of the rows that its fold
+    holds back has stopped falling (by that tolerance); the trees then spared are those that would only have fitted the
+    training rows. With more than one rung, candidates first get a fraction of their trees (a half per rung to go) and
+    the better half of them goes on; those that dropped out rank behind, by their last area.
     """
     space = {name: options for name, options in space.items() if name not in NOT_APPLIED and name not in overrides}
     candidates, folded = draw_candidates(space, draws, seed), stored(folded, [fold])
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
-    areas: list[list[float]] = [[] for _ in candidates]
+    shared = []
     for i in range(folds):
-        rest = folded.where(F.col(fold) != i)
-        fitted = prep.fit(rest)
-        train = fitted.transform(rest).select(label, "features").persist()
-        held_out = fitted.transform(folded.where(F.col(fold) == i)).select(label, "features").persist()
-        try:
+        fitted = prep.fit(folded.where(F.col(fold) != i))
+        vectors = stored(gathered(fitted.transform(folded)).select(label, "features", (F.col(fold) == i).alias(HELD)), [HELD])
+        shared.append((vectors.where(F.col(HELD)).persist(), (vectors if early_stop is not None else vectors.where(~F.col(HELD))).persist()))
 
-            def area_of(params: dict) -> float:
-                model = booster(preset, label, **{**params, **overrides}).fit(train)
-                return evaluator.evaluate(model.transform(held_out))
+    def area_of(task: tuple[int, int, int]) -> float:
+        k, i, rung = task
+        params = {**candidates[k], **overrides}
+        trees = params.get("n_estimators", PRESETS[preset]["n_estimators"])
+        model = booster(preset, label, **{**params, "n_estimators": max(1, trees >> (rungs - 1 - rung))})
+        if early_stop is not None:
+            model = model.setValidationIndicatorCol(HELD).setParams(validationTol=early_stop)
+        held_out, rows = shared[i]
+        return evaluator.evaluate(model.fit(rows).transform(held_out))
 
-            with ThreadPool(parallelism) as pool:
-                for area, found in zip(areas, pool.map(area_of, candidates)):
-                    area.append(found)
-        finally:
-            train.unpersist()
-            held_out.unpersist()
-    means = [sum(a) / len(a) for a in areas]
-    order = sorted(range(len(means)), key=lambda k: -means[k])
+    alive, means, reached = list(range(len(candidates))), [0.0] * len(candidates), [0] * len(candidates)
+    try:
+        with ThreadPool(parallelism) as pool:
+            for rung in range(rungs):
+                tasks = [(k, i, rung) for k in alive for i in range(folds)]
+                areas = dict(zip(tasks, pool.map(area_of, tasks, chunksize=1)))
+                for k in alive:
+                    means[k], reached[k] = sum(areas[k, i, rung] for i in range(folds)) / folds, rung
+                alive = sorted(alive, key=lambda k: -means[k])[: max(1, -(-len(alive) // 2))]
+    finally:
+        for pair in shared:
+            for frame in pair:
+                frame.unpersist()
+    order = sorted(range(len(means)), key=lambda k: (-reached[k], -means[k]))
     names = [*space, *overrides]
     rows = [
         (rank + 1, means[k], *[float({**candidates[k], **overrides}[name]) for name in names]) for rank, k in enumerate(order)
@@ -83,5 +101,5 @@ def random_search(
     schema = T.StructType(fields + [T.StructField(name, T.DoubleType()) for name in names])
     best = booster(preset, label, **{**candidates[order[0]], **overrides})
     fitted = prep.fit(folded)
-    refit = best.fit(fitted.transform(folded).select(label, "features"))
+    refit = best.fit(gathered(fitted.transform(folded).select(label, "features")))
     return PipelineModel([fitted, refit]), small_frame(folded.sparkSession, rows, schema)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ambar.plans import cleaning, evaluation, features, learning, profiling, scans
+from ambar.plans import cleaning, evaluation, features, learning, profiling, scans, scoring, screening
 
-MODULES = [scans, cleaning, features, profiling, evaluation, learning]
+MODULES = [scans, cleaning, features, profiling, evaluation, learning, scoring, screening]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: text for module in MODULES for name, text in module.ORACLES.items()}

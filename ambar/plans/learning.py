@@ -7,8 +7,8 @@ import uuid
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ambar.fixed import PUPIL_FEATURES
-from ambar.operators import clusters, evaluate, explain, models, prep, splits, tuning
+from ambar.fixed import ID_COLUMNS, LEAKY_COLUMNS, SEARCH_FOLDS
+from ambar.operators import clusters, context, evaluate, explain, models, prep, splits, tuning
 from ambar.plans import flows
 from ambar.plans.oracle import near, near_col, near_columns, sql
 from ambar.session import checkpoint_dir, materialise, stored
@@ -16,8 +16,6 @@ from ambar.sources import tpch
 
 TRAIN, TEST = tpch.TRAIN_YEAR, tpch.TEST_YEAR
 EDITIONS = (TRAIN, TEST)
-# The search's 30 draws and 3 folds are its defaults; this query makes a smaller search of full-size fits.
-QUERY_DRAWS, QUERY_FOLDS = 2, 2
 MODEL_COLUMNS = ["presenca", "caderno", "rede"]
 
 
@@ -65,22 +63,18 @@ def one_hot(spark, sf_dir):
 
 def preprocess_vector(spark, sf_dir):
     train, test = _stored_train_test(spark, sf_dir)
-    vectors = prep.TabularPreprocessor(["presenca", "caderno"], ["rede"]).fit(train).transform(test)
+    model = prep.TabularPreprocessor(["presenca", "caderno"], ["rede"]).fit(train)
     value = vector_to_array("features")
-    return vectors.select(
-        "id_registro", *[near_col(value[i]).alias(name) for i, name in enumerate(prep.feature_names(vectors))]
-    )
+    names = model.names().collect()  # two numbers and five segments
+    return model.transform(test).select("id_registro", *[near_col(value[r["position"]]).alias(r["feature"]) for r in names])
 
 
 def feature_names(spark, sf_dir):
     train, test = _stored_train_test(spark, sf_dir)
-    vectors = prep.TabularPreprocessor(["presenca", "caderno"], ["rede"]).fit(train).transform(test)
-    names = prep.feature_names(vectors)
+    model = prep.TabularPreprocessor(["presenca", "caderno"], ["rede"]).fit(train)
     entries = F.posexplode(vector_to_array("features")).alias("position", "value")
-    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("position") + 1)
-    return vectors.select(entries).groupBy("position").agg(F.count(F.when(F.col("value") != 0, 1)).alias("n_nonzero")).select(
-        "position", name.alias("feature"), "n_nonzero"
-    )
+    used = model.transform(test).select(entries).groupBy("position").agg(F.count(F.when(F.col("value") != 0, 1)).alias("n_nonzero"))
+    return used.join(model.names(), "position").select(F.col("position").cast("int").alias("position"), "feature", "n_nonzero")
 
 
 def _both_splits(fitted: flows.Fitted):
@@ -94,10 +88,12 @@ _FITTED: dict[tuple, object] = {}
 
 
 def once(make):
-    """Several queries read one fitted model: it is fitted once per session and data."""
+    """Several queries read one fitted model: it is fitted once per session and state of the pupil file."""
 
     def fitted(spark, sf_dir):
-        key = (spark.sparkContext.applicationId, sf_dir, make.__name__)
+        files = tpch.table(spark, sf_dir, "orders").select("_metadata.file_modification_time", "_metadata.file_size")
+        state = tuple(files.agg(F.max("file_modification_time"), F.max("file_size"), F.count("*")).first())
+        key = (spark.sparkContext.applicationId, sf_dir, make.__name__, state)
         if key not in _FITTED:
             _FITTED[key] = make(spark, sf_dir)
         return _FITTED[key]
@@ -105,6 +101,11 @@ def once(make):
     return fitted
 
 
+def forget() -> None:
+    """Drop the remembered models, for instance to time each query by itself."""
+    _FITTED.clear()
+
+
 def gbt_agregado(spark, sf_dir):
     features = tpch.features_ml(tpch.indicadores(editions(spark, sf_dir)))
     return _both_splits(flows.aggregate_flow(features, TRAIN, TEST))
@@ -119,6 +120,12 @@ def gbt_individual(spark, sf_dir):
     return _both_splits(pupil_model(spark, sf_dir))
 
 
+def gbt_agregado_defasado(spark, sf_dir):
+    """The aggregate model on the results of the edition before, so that nothing known only with the label is used."""
+    features = tpch.features_ml(tpch.indicadores(tpch.alunos(spark, sf_dir, (TRAIN - 1, TEST))))
+    return _both_splits(flows.aggregate_flow(features, TRAIN, TEST, past=True))
+
+
 @once
 def engineered_model(spark, sf_dir) -> flows.Fitted:
     return flows.engineered_flow(editions(spark, sf_dir), TRAIN, TEST)
@@ -140,9 +147,12 @@ def gbt_historico(spark, sf_dir):
 
 
 def model_evolution(spark, sf_dir):
-    """The pupil model, then with history, then with engineered features: metrics on the test edition and gains."""
-    steps = [("individual", pupil_model(spark, sf_dir)), ("historico", history_model(spark, sf_dir)), ("melhorado", engineered_model(spark, sf_dir))]
-    return evaluate.compare_models([(name, fitted.scored()) for name, fitted in steps])
+    """Pupils of both editions on both sides, then of one edition only, then with history, with engineered features, and
+    these at the cut tuned on out-of-fold scores: metrics on the test edition and gains."""
+    shared = flows.pupil_flow(editions(spark, sf_dir), TRAIN, TEST, single_period=False)
+    clean, history, engineered = (make(spark, sf_dir) for make in (pupil_model, history_model, engineered_model))
+    steps = [("entre_edicoes", shared.scored()), ("individual", clean.scored()), ("historico", history.scored()), ("melhorado", engineered.scored()), ("melhorado_corte", engineered.at_cut())]
+    return evaluate.compare_models(steps)
 
 
 def sampled_model(spark, sf_dir):
@@ -150,19 +160,31 @@ def sampled_model(spark, sf_dir):
     return _both_splits(flows.pupil_flow(editions(spark, sf_dir), TRAIN, TEST, fraction=0.15))
 
 
-def _leaky_features():
-    return [*PUPIL_FEATURES[:-1], "proficiencia"]
+def _leaky_train_test(spark, sf_dir):
+    """Pupils with everything that is known of their own edition: score, municipal indicators, state targets."""
+    pupils = editions(spark, sf_dir)
+    municipal = materialise(tpch.indicadores(pupils))
+    wide = context.enrich_indicators(pupils, municipal, ["id_municipio", "rede", "ano"])
+    wide = context.enrich_targets(wide, tpch.metas(spark, sf_dir), [2024, 2030])
+    return splits.temporal_split(stored(wide, ["ano"]), "ano", TRAIN, TEST)
+
+
+def _leaky_features(train):
+    """All columns but the ids and the label; and those of them that the outcome is behind."""
+    features = [c for c in train.columns if c not in (*ID_COLUMNS, "alfabetizado")]
+    return features, [c for c in features if c in LEAKY_COLUMNS or c.removeprefix("mun_") in LEAKY_COLUMNS]
 
 
 def gbt_leaky(spark, sf_dir):
-    train, test = _stored_train_test(spark, sf_dir)
-    pipeline = models.build_pipeline(train, "controle_leakage", "alfabetizado", _leaky_features())
+    train, test = _leaky_train_test(spark, sf_dir)
+    pipeline = models.build_pipeline(train, "controle_leakage", "alfabetizado", _leaky_features(train)[0])
     return evaluate.metrics(models.score(models.fit(pipeline, train), test, "alfabetizado"))
 
 
 def leakage_experiment(spark, sf_dir):
-    train, test = _stored_train_test(spark, sf_dir)
-    return models.leakage_experiment(train, test, "alfabetizado", _leaky_features(), ["proficiencia"])
+    train, test = _leaky_train_test(spark, sf_dir)
+    features, leaky = _leaky_features(train)
+    return models.leakage_experiment(train, test, "alfabetizado", features, leaky)
 
 
 def _scored_columns(scored):
@@ -190,23 +212,39 @@ def cv_auc(spark, sf_dir):
     return per_fold.select("*", *[summary.select(c).scalar().alias(c) for c in ("mean_auc", "two_std")])
 
 
+@once
+def _search(spark, sf_dir):
+    """30 draws in 3 folds each, the winner refitted on the whole train edition."""
+    train, test = _stored_train_test(spark, sf_dir)
+    folded = splits.stratified_folds(train, "alfabetizado", "id_registro", folds=SEARCH_FOLDS)
+    found = tuning.random_search(folded, "alfabetizado", prep.TabularPreprocessor(["presenca", "caderno"], ["rede"]))
+    return *found, test
+
+
 def random_search(spark, sf_dir):
-    train, _ = _stored_train_test(spark, sf_dir)
-    folded = splits.stratified_folds(train, "alfabetizado", "id_registro", folds=QUERY_FOLDS)
-    _, ranked = tuning.random_search(
-        folded, "alfabetizado", prep.TabularPreprocessor(["presenca", "caderno"], ["rede"]), draws=QUERY_DRAWS, folds=QUERY_FOLDS
-    )
-    return ranked
+    return _search(spark, sf_dir)[1]
+
+
+def random_search_best(spark, sf_dir):
+    """Metrics of the search's winner on the test edition."""
+    best, _, test = _search(spark, sf_dir)
+    return evaluate.metrics(models.score(best, test, "alfabetizado"))
+
+
+def random_search_cover(spark, sf_dir):
+    """Candidates that were ranked, and those whose area is no number between 0 and 1."""
+    ranked = random_search(spark, sf_dir)
+    return ranked.agg(F.countDistinct("rank").alias("n_candidates"), F.count(F.when(~F.col("mean_auc").between(0, 1), 1)).alias("n_bad"))
 
 
 def feature_importance(spark, sf_dir):
     fitted = pupil_model(spark, sf_dir)
-    return models.feature_importance(fitted.model, fitted.test)
+    return models.feature_importance(fitted.model)
 
 
 def importance_cumulative(spark, sf_dir):
     fitted = pupil_model(spark, sf_dir)
-    shares, needed = models.importance_cumulative(fitted.model, fitted.test, [0.8, 0.9])
+    shares, needed = models.importance_cumulative(fitted.model, [0.8, 0.9])
     return shares.select("*", needed.select("n_80").scalar().alias("n_80"), needed.select("n_90").scalar().alias("n_90"))
 
 
@@ -229,6 +267,30 @@ def shapley_rows(spark, sf_dir):
     return _attributions(spark, sf_dir)
 
 
+def shapley_error(spark, sf_dir):
+    """Attributions with their standard errors, from antithetic pairs of feature orders."""
+    model, train, test = _attribution_model(spark, sf_dir)
+    background = explain.background_rows(train, MODEL_COLUMNS, "id_registro", BACKGROUND)
+    return explain.shapley_with_error(model, test, background, MODEL_COLUMNS, "id_registro", BACKGROUND)
+
+
+def shapley_error_residual(spark, sf_dir):
+    """Rows attributed per feature, errors that aren't a number of 0 or more, and rows whose attributions don't add up."""
+    model, train, test = _attribution_model(spark, sf_dir)
+    background = explain.background_rows(train, MODEL_COLUMNS, "id_registro", BACKGROUND)
+    found = explain.shapley_with_error(model, test, background, MODEL_COLUMNS, "id_registro", BACKGROUND)
+    paths = explain.shapley_paths(test, background, MODEL_COLUMNS, "id_registro", BACKGROUND, 8, antithetic=True)
+    ends = model.transform(paths.where(F.col("_step").isin(0, len(MODEL_COLUMNS))))
+    signed = F.when(F.col("_step") == 0, -vector_to_array("probability")[1]).otherwise(vector_to_array("probability")[1])
+    whole = ends.groupBy("id_registro").agg((F.sum(signed) / 8).alias("whole"))
+    added = found.groupBy("id_registro").agg(F.sum("phi").alias("added"), F.count("*").alias("n"), F.min("std_error").alias("least"))
+    both = added.join(whole, "id_registro")
+    return both.agg(
+        F.count("*").alias("n_rows"), F.sum("n").alias("n_attributions"), F.count(F.when(~(F.col("least") >= 0), 1)).alias("n_bad_errors"),
+        F.count(F.when(F.abs(F.col("added") - F.col("whole")) > 1e-9, 1)).alias("n_residual"),
+    )
+
+
 def shapley_summary(spark, sf_dir):
     return explain.shapley_summary(_attributions(spark, sf_dir))
 
@@ -280,6 +342,7 @@ QUERIES = {
     "preprocess_vector": preprocess_vector,
     "feature_names": feature_names,
     "gbt_agregado": gbt_agregado,
+    "gbt_agregado_defasado": gbt_agregado_defasado,
     "gbt_individual": gbt_individual,
     "gbt_engineered": gbt_engineered,
     "gbt_historico": gbt_historico,
@@ -291,9 +354,13 @@ QUERIES = {
     "score_reloaded": score_reloaded,
     "cv_auc": cv_auc,
     "random_search": random_search,
+    "random_search_best": random_search_best,
+    "random_search_cover": random_search_cover,
     "feature_importance": feature_importance,
     "importance_cumulative": importance_cumulative,
     "shapley_rows": shapley_rows,
+    "shapley_error": shapley_error,
+    "shapley_error_residual": shapley_error_residual,
     "shapley_summary": shapley_summary,
     "kmeans_municipios": kmeans_municipios,
     "cluster_profile": cluster_profile,
@@ -322,12 +389,17 @@ TEST_ROWS = f"""SELECT * FROM alunos WHERE ano = {TEST} AND id_aluno IN (
     SELECT id_aluno FROM alunos WHERE ano IN ({TRAIN}, {TEST}) GROUP BY id_aluno HAVING count(DISTINCT ano) = 1)"""
 
 ORACLES = {
+    "random_search_cover": "SELECT 30::BIGINT AS n_candidates, 0::BIGINT AS n_bad",
     "scored_keys": sql("alunos", rows=TEST_ROWS, body="SELECT id_registro, alfabetizado AS label FROM rows"),
     "reloaded_difference": sql("alunos", rows=TEST_ROWS, body="SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM rows"),
     "shapley_cover": sql(
         "alunos",
         body=" UNION ALL ".join(f"SELECT '{c}' AS feature, count(*) AS n_rows FROM alunos WHERE ano = {TEST}" for c in MODEL_COLUMNS),
     ),
+    "shapley_error_residual": sql(
+        "alunos",
+        body=f"SELECT count(*) AS n_rows, {len(MODEL_COLUMNS)} * count(*) AS n_attributions, 0::BIGINT AS n_bad_errors, 0::BIGINT AS n_residual FROM alunos WHERE ano = {TEST}",
+    ),
     "cluster_cover": sql("indicadores", body="SELECT count(*) AS n_rows, 5::BIGINT AS n_clusters FROM indicadores"),
     "impute_median": sql(
         "alunos", t=TRAIN_SQL,

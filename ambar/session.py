@@ -64,6 +64,24 @@ def stored(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark job has written ``path`` to its end."""
+    files, where = _file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate that nothing reads any more, wherever the checkpoint folder is."""
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
 def small_frame(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
     """A few driver-side rows (fitted statistics) as a local relation, without Python workers."""
     columns = {name: [row[i] for row in rows] for i, name in enumerate(schema.names)}

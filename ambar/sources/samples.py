@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ambar.fixed import SEED
 from ambar.functions.scalars import hash32
+from ambar.session import small_frame
 
 SPAN = 2**32
 
@@ -36,12 +38,12 @@ def stratified_sample_native(df: DataFrame, label: str, fractions: dict, seed: i
 def export_samples(frames: dict[str, DataFrame], out_dir: str) -> DataFrame:
     """Write each frame as CSV with header below ``out_dir``; returns the manifest (table, n_rows).
 
-    Executors write the parts themselves; the row counts come from reading the files back.
+    Executors write the parts themselves, and rows are counted while they are written: one job per table, no second read.
     """
-    manifest = []
+    manifest, spark = [], None
     for name, frame in frames.items():
+        spark, written = frame.sparkSession, Observation(f"written_{name}")
         path = f"{out_dir.rstrip('/')}/sample_{name}"
-        frame.write.mode("overwrite").option("header", True).option("multiLine", True).csv(path)
-        written = frame.sparkSession.read.option("header", True).option("multiLine", True).schema(frame.schema).csv(path)
-        manifest.append(written.agg(F.lit(name).alias("table"), F.count("*").alias("n_rows")))
-    return reduce(DataFrame.unionByName, manifest)
+        frame.observe(written, F.count("*").alias("n_rows")).write.mode("overwrite").option("header", True).option("multiLine", True).csv(path)
+        manifest.append((name, written.get["n_rows"]))
+    return small_frame(spark, manifest, T.StructType([T.StructField("table", T.StringType()), T.StructField("n_rows", T.LongType())]))

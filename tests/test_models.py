@@ -39,19 +39,45 @@ def test_preprocessor_handles_unseen_missing_and_constant(spark):
     fitted = prep.TabularPreprocessor(["x", "k"], ["c"]).fit(train)
     test = spark.createDataFrame([(2.0, 5, "new"), (float("nan"), 5, "b"), (2.0, 6, None)], "x double, k int, c string")
     out = fitted.transform(test)
-    assert prep.feature_names(out) == ["x", "k", "c_a", "c_b", "c_missing"]
+    assert [r["feature"] for r in fitted.names().orderBy("position").collect()] == ["x", "k", "c_a", "c_b", "c_missing"]
     rows = [list(r[0]) for r in out.select(vector_to_array("features")).collect()]
     assert rows == [[0, 0, 0, 0, 0], [0, 0, 0, 1, 0], [0, 1, 0, 0, 1]]
     scaled = [r[0][0] for r in fitted.transform(train).select(vector_to_array("features")).collect()]
     assert scaled == pytest.approx([-1.224744871, 1.224744871, 0.0])
 
 
-def test_ids_are_refused_as_categories(spark):
-    df = spark.range(100).select(F.col("id").cast("string").alias("c"), F.lit(1.0).alias("x"))
-    with pytest.raises(ValueError):
-        prep.TabularPreprocessor(["x"], ["c"], max_categories=20).fit(df)
-    with pytest.raises(ValueError):
-        prep.categories(df, "c", limit=20)
+@pytest.mark.parametrize("limit", [None, 0])
+def test_fifty_thousand_categories_fit_score_and_survive_saving(spark, tmp_path, limit):
+    train = spark.range(60_000).select(
+        F.concat(F.lit("k"), F.least("id", F.lit(49_999)).cast("string")).alias("c"), (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("y")
+    )
+    fitted = prep.TabularPreprocessor(["x"], ["c"], limit_bytes=limit).fit(train)
+    assert fitted.broadcast == (limit is None)
+    assert fitted.width() == 50_001 == fitted.names().select("position").distinct().count()
+    names = {r["feature"]: r["position"] for r in fitted.names().where("feature IN ('x', 'c_k0', 'c_k49999', 'c_k777')").collect()}
+    path = str(tmp_path / "prep")
+    fitted.save(path)
+    again = prep.TabularModel.load(path)
+    rows = spark.createDataFrame([("k777", 1.0), ("k0", 1.0), ("k49999", 1.0), ("new", 1.0), (None, 1.0)], "c string, x double")
+    for model in (fitted, again):
+        got = {r["c"]: r["features"] for r in model.transform(rows).select("c", "features").collect()}
+        for value in ("k777", "k0", "k49999"):
+            assert len(got[value]) == 50_001 and got[value][names[f"c_{value}"]] == 1.0 and got[value].numNonzeros() == 2
+        assert got["new"].numNonzeros() == got[None].numNonzeros() == 1
+
+
+def test_dictionary_numbers_values_in_order(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 1), (None, 2), ("b", None)], "c string, d int")
+    got = {(r["column"], r["value"]): (r["index"], r["n"]) for r in prep.category_dictionary(df, ["c", "d"]).collect()}
+    assert got == {("c", "a"): (0, 1), ("c", "b"): (1, 2), ("d", "1"): (0, 2), ("d", "2"): (1, 1)}
+    assert prep.category_dictionary(df.where("false"), ["c"], "none").count() == 0
+
+
+def test_one_hot_vector_names_its_entries(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",)], "c string")
+    vectors, names = prep.one_hot_vector(df, df, "c")
+    place = {r["feature"]: r["index"] for r in names.collect()}
+    assert [r["c_hot"][place[f"c_{r['c']}"]] for r in vectors.collect()] == [1.0] * 3
 
 
 def test_one_hot_columns(spark):
@@ -91,10 +117,10 @@ def test_leaky_model_looks_better(split):
 
 def test_importances_are_named_and_complete(split, model):
     _, test = split
-    table = models.feature_importance(model, test, None).collect()
+    table = models.feature_importance(model, None).collect()
     assert sum(r["importance"] for r in table) == pytest.approx(1)
     assert table[0]["feature"] == "presenca" and any(r["feature"].startswith("rede_") for r in table)
-    shares, needed = models.importance_cumulative(model, test, [0.8, 0.9])
+    shares, needed = models.importance_cumulative(model, [0.8, 0.9])
     assert shares.agg(F.max("cumulative_share")).first()[0] == pytest.approx(1)
     assert 1 <= needed.first()["n_80"] <= needed.first()["n_90"]
 
