@@ -13,15 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from ambar.llm import decontaminate, near_dup, packing, site_quality, toxicity
 from ambar.llm.common import setup, table
 from ambar.llm.tokens import public_path
-from ambar.session import checkpoint_dir
+from ambar.session import checkpoint_dir, remove, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier doesn't predict to be toxic."""
     setup(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model, name="_score").where(f"_score < {toxicity.CUT}")
-    return scored.select(*docs.columns)
+    return toxicity.clean_rows(docs, model)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,11 +59,21 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """All stages over the documents of ``sf_dir``.
+
+    With a ``folder`` (that executors can reach) the stages' results stay there, and a run that was broken off goes on
+    behind the last stage that it finished. Without one a new folder is used, and a stage's result is removed when the
+    next one is written.
+    """
+    own = folder or f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs, before = table(spark, sf_dir, "documents"), None
+    for number, (name, stage) in enumerate(STAGES, 1):
+        path = f"{own}/{number}-{name}"
+        if not written(spark, path):
+            stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
         docs = spark.read.parquet(path)
+        if before and not folder:
+            remove(spark, before)
+        before = path
     return docs
