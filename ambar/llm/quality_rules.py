@@ -1,7 +1,9 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
 Each rule is one boolean expression over a row ("this row fails"). Cost and selectivity of every rule are
-estimated on a bounded sample, and the rules are tried in the order of rejections per cost, so that most bad
+estimated on a bounded sample (its cost by runs over so many copies that it stands out from the job's own time, its
+selectivity among the rows that the rules before it leave), and the rules are tried in the order of rejections per cost,
+so that most bad
 rows are settled by the rules that are cheap and strict, and the dear ones see only what is left. The order
 changes the work, never the verdict: a row is kept if no rule fails it.
 
@@ -27,6 +29,7 @@ WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 
 SAMPLE_ROWS = 2000
+LEAST_SECONDS, MOST_COPIES, RUNS = 0.15, 1024, 3  # of the timing of a rule
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -116,21 +119,51 @@ def prose_rules(text: str = "text") -> list[Rule]:
     ]
 
 
-def estimate(df: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS, seed: int = 42, features=lambda df: df) -> list[Estimate]:
-    """Seconds and share of rejected rows of each rule alone, on a stored sample of ``sample_rows`` rows.
+def cost(sample: DataFrame, fails: Column, rows: int) -> float:
+    """Seconds that a rule takes for one row of ``sample``, beyond what a job and reading the rows take.
 
-    ``features`` adds the columns that the rules need; it is applied to the sample only.
+    The rule is run over copies of the sample, twice as many each time, until a run lasts ``LEAST_SECONDS`` beyond an idle
+    one over as many copies. The least of ``RUNS`` differences counts, so that other work on the machine adds little.
     """
-    sample = kept_once(features(kept_once(bounded_sample(df, sample_rows, seed))))
 
-    def timed(fails: Column) -> tuple[float, float]:
+    def run(column: Column, copies: int) -> float:
         start = time.perf_counter()
-        rejected = sample.agg(F.avg(F.coalesce(fails, F.lit(False)).cast("double"))).first()[0]
-        return time.perf_counter() - start, rejected or 0.0
+        # Spread over the cores, and copied where it is: nothing but the copies' number differs between runs.
+        sample.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).agg(F.count(F.when(column, 1))).first()
+        return time.perf_counter() - start
+
+    copies = 1
+    while True:
+        idle, busy = run(F.col("_copy") < 0, copies), run(fails & (F.col("_copy") > 0), copies)
+        if busy - idle >= LEAST_SECONDS or copies >= MOST_COPIES:
+            break
+        copies *= 4 if busy - idle < LEAST_SECONDS / 4 else 2
+    found = [busy - idle] + [run(fails & (F.col("_copy") > 0), copies) - run(F.col("_copy") < 0, copies) for _ in range(RUNS - 1)]
+    # The difference of two quick runs may come out below 0: then the rule costs less than can be told.
+    return max(min(found), LEAST_SECONDS / 100) / (copies * max(1, rows))
 
-    idle = min(timed(F.lit(False))[0] for _ in range(2))  # what any job costs
-    seen = [(rule, *timed(rule.fails)) for rule in rules]
-    return [Estimate(rule, max(seconds - idle, 1e-3), rejected) for rule, seconds, rejected in seen]
+
+def estimate(df: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS, seed: int = 42, features=lambda df: df) -> list[Estimate]:
+    """Seconds a row of each rule, and the share it rejects of the rows that the rules before it leave, in the order of
+    rejections per cost, on a stored sample of ``sample_rows`` rows.
+
+    ``features`` adds the columns that the rules need; it is applied to the sample only. Which rules fail together comes
+    from one count by the set of failing rules, at most as many rows as the sample.
+    """
+    sample = kept_once(features(kept_once(bounded_sample(df, sample_rows, seed))))
+    bits = sum((F.when(F.coalesce(rule.fails, F.lit(False)), F.lit(1 << k)).otherwise(F.lit(0)) for k, rule in enumerate(rules)), F.lit(0))
+    left = {r["failing"]: r["count"] for r in sample.groupBy(bits.cast("long").alias("failing")).count().collect()}
+    rows = sum(left.values())
+    seconds = {rule.name: cost(sample, F.coalesce(rule.fails, F.lit(False)), rows) for rule in rules}
+    out, open_rules = [], list(enumerate(rules))
+    while open_rules:
+        remaining = sum(left.values())
+        share = {k: sum(n for failing, n in left.items() if failing >> k & 1) / max(1, remaining) for k, _ in open_rules}
+        k, rule = max(open_rules, key=lambda o: (share[o[0]] / seconds[o[1].name], -seconds[o[1].name], o[1].name))
+        out.append(Estimate(rule, seconds[rule.name], share[k]))
+        left = {failing: n for failing, n in left.items() if not failing >> k & 1}
+        open_rules = [o for o in open_rules if o[0] != k]
+    return out
 
 
 def cascade(rules: list[Rule]) -> Column:
@@ -143,7 +176,7 @@ def cascade(rules: list[Rule]) -> Column:
 
 def quality_cascade(df: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS, seed: int = 42, features=lambda df: df) -> DataFrame:
     """``features(df)`` with ``rejected_by`` (the first failing rule in the estimated order) and ``kept``."""
-    ranked = sorted(estimate(df, rules, sample_rows, seed, features), key=lambda e: (-e.rank, e.rule.name))
+    ranked = estimate(df, rules, sample_rows, seed, features)
     df = features(df).drop("rejected_by", "kept").withColumn("rejected_by", cascade([e.rule for e in ranked]))
     return df.withColumn("kept", F.col("rejected_by").isNull())
 

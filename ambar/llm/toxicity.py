@@ -2,11 +2,13 @@
 
 1. Features of words (whole words and their prefixes, found once, twice or more often in a text) are
    counted over all labelled training documents; those that are far commoner in toxic ones form the lexicons.
-2. Voters look at a text: one per group of lexicon entries, one that says "nothing found", and fixed patterns. The given label is one more, fallible voter.
+2. Voters look at a text: one per root of lexicon entries (it votes or abstains), one that says "nothing found", and fixed
+   patterns. The given label is one more, fallible voter.
 3. A generative model of the votes given the unknown true class is fitted by EM. It estimates each voter's
    accuracy and, as a tree over the voters that agree most within a class, their correlations, so that voters
    that see the same thing are not counted twice.
-4. A linear classifier on the lexicon's features is fitted to the posterior classes.
+4. A linear classifier on the lexicon's features is fitted to the posterior classes, of the sampled texts and, for texts with
+   one entry only, of those that have the entry.
 
 Lexicon counts cover all labelled training rows. The label model and the classifier are fitted on a bounded
 sample of ``FIT_ROWS`` of them. Scoring is one pass over the texts with a lexicon of bounded size.
@@ -20,7 +22,6 @@ empty result. Input columns stay, except those with a result's name.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -39,7 +40,6 @@ MIN_SHARE = 0.005  # and at least this share of them: more than one passage and
 MIN_BOUND = 0.55
 LEVELS = (1, 2, 3, 4, 6)
 PREFIXES = (3, 4, 5, 6, 7)
-GROUPS = 12
 DEPENDENT = 0.05  # mutual information, in nats a row, from which two voters count as correlated within a class
 CUT = 0.3
 NOTHING_KNOWN = -4.0  # log odds without any labelled row: nothing is taken for toxic
@@ -156,10 +156,19 @@ def select(found: list[np.ndarray], label: np.ndarray, size: int) -> list[int]:
     return chosen
 
 
-def voter_of(feature: str) -> str:
-    """Entries that start alike belong to one voter, so that voters see different roots."""
-    text = feature.partition(":")[2]
-    return f"{'once' if text.endswith('@1') else 'often'}{zlib.crc32(text[:3].encode()) % GROUPS}"
+def voters_of(features: list[str], chosen: list[int]) -> dict[int, str]:
+    """The voter that each chosen entry belongs to: its root, the shortest chosen text that it starts with, and whether the
+    entry asks for one occurrence or for several. Forms of one root see the same thing, so they have one vote."""
+    texts = sorted({features[f].partition(":")[2].rpartition("@")[0] for f in chosen})
+    root, last = {}, None
+    for text in texts:  # what starts with a text follows it in this order
+        last = last if last is not None and text.startswith(last) else text
+        root[text] = last
+    out = {}
+    for f in chosen:
+        text, _, level = features[f].partition(":")[2].rpartition("@")
+        out[f] = f"{root[text]}:{'once' if level == '1' else 'often'}"
+    return out
 
 
 def _examples(features: list[str]):
@@ -178,18 +187,18 @@ def _examples(features: list[str]):
     return run
 
 
-def lone_examples(found: list[np.ndarray], label: np.ndarray, features: list[str], chosen: list[int]) -> tuple[list[list[int]], list[float]]:
-    """For each chosen entry a text that has it alone, with the smoothed share of toxic documents that have it.
+def lone_examples(found: list[np.ndarray], posterior: np.ndarray, features: list[str], chosen: list[int]) -> tuple[list[list[int]], list[float]]:
+    """For each chosen entry a text that has it alone, with what the label model believes of the texts that have it.
 
     Few sampled texts have one entry only, so the classifier would learn what several weigh together but not what
     each is worth. Shorter forms of an entry go with it, and have no example of their own if most of what has them
     has the longer form.
     """
     kept, count, toxic = set(chosen), Counter(), Counter()
-    for entries, y in zip(found, label):
+    for entries, q in zip(found, posterior):
         for f in kept.intersection(entries):
             count[f] += 1
-            toxic[f] += y
+            toxic[f] += float(q)
     split = {f: (features[f].partition(":")[2].rpartition("@")) for f in chosen}
     examples, targets = [], []
     for f in chosen:
@@ -203,8 +212,9 @@ def lone_examples(found: list[np.ndarray], label: np.ndarray, features: list[str
 
 
 def vote_table(found: list[np.ndarray], hits: np.ndarray, label: np.ndarray, features: list[str], chosen: list[int]) -> np.ndarray:
-    """A column per voter: the given label, "nothing found", the patterns, the groups of entries."""
-    voters = {f: voter_of(features[f]) for f in chosen}
+    """A column per voter: the given label, "nothing found", the patterns, the roots of entries. 0 of a root is an
+    abstention, whose chance within each class is learned like that of a vote."""
+    voters = voters_of(features, chosen)
     place = {name: i for i, name in enumerate(sorted(set(voters.values())))}
     groups = np.zeros((len(found), len(place)), np.int64)
     for row, entries in enumerate(found):
@@ -254,11 +264,16 @@ def _tree(v: np.ndarray, counts: np.ndarray, q: np.ndarray) -> np.ndarray:
                 both = one if a and b else single[:, None] - one if a else single[None, :] - one if b else w.sum() - single[:, None] - single[None, :] + one
                 p = (np.maximum(both, 0) + 0.5) / total
                 strength += total * p * np.log(p / (((pa_ + 1.0) / total)[:, None] * ((pb + 1.0) / total)[None, :]))
-    parent, inside = np.full(n, -1), {0}
-    while len(inside) < n:
-        gain, child, up = max((strength[i, j], -j, i) for i in inside for j in range(n) if j not in inside)
-        parent[-child] = up if gain > DEPENDENT * counts.sum() else -1
-        inside.add(-child)
+    # The strongest spanning tree, from the given label on; weak edges are left out of it.
+    parent, outside = np.full(n, -1), np.ones(n, bool)
+    gain, source = strength[0].copy(), np.zeros(n, np.int64)
+    outside[0] = False
+    while outside.any():
+        child = int(np.argmax(np.where(outside, gain, -np.inf)))
+        parent[child] = source[child] if gain[child] > DEPENDENT * counts.sum() else -1
+        outside[child] = False
+        closer = strength[child] > gain
+        gain, source = np.where(closer, strength[child], gain), np.where(closer, child, source)
     return parent
 
 
@@ -300,9 +315,10 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", fit_rows: int
     chosen = select(found, label, len(features))
     votes = vote_table(found, np.array(sample["hits"].tolist(), bool).reshape(len(label), -1), label, features, chosen)
     number = {f: i for i, f in enumerate(chosen)}
-    alone, targets = lone_examples(found, label, features, chosen)
+    posterior = fit_label_model(votes)
+    alone, targets = lone_examples(found, posterior, features, chosen)
     columns = [np.array([number[f] for f in entries if f in number], np.int64) for entries in [*found, *alone, *alone]]
-    weights, intercept = fit_linear(columns, np.concatenate([fit_label_model(votes), targets, targets]), len(chosen))
+    weights, intercept = fit_linear(columns, np.concatenate([posterior, targets, targets]), len(chosen))
     return Model({features[f]: float(w) for f, w in zip(chosen, weights) if w}, intercept)
 
 

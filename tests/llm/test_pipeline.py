@@ -37,6 +37,25 @@ def test_run_packs_what_all_stages_keep(spark, sf_dir):
     check_packing(pipeline.run(spark, sf_dir).collect(), {r["doc_id"]: r["text"] for r in docs.collect()}, library(public_path("word_bpe_49k.json")))
 
 
+def test_a_broken_run_goes_on_where_it_stopped(spark, sf_dir, tmp_path, monkeypatch):
+    import pytest
+
+    def broken(spark, docs, sf_dir):
+        raise RuntimeError("lost")
+
+    folder, whole = str(tmp_path / "run"), list(pipeline.STAGES)
+    monkeypatch.setattr(pipeline, "STAGES", [*whole[:2], ("near_dup", broken), *whole[3:]])
+    with pytest.raises(RuntimeError):
+        pipeline.run(spark, sf_dir, folder)
+    # The finished stages aren't computed again.
+    monkeypatch.setattr(pipeline, "STAGES", [(whole[0][0], broken), (whole[1][0], broken), *whole[2:]])
+    again = pipeline.run(spark, sf_dir, folder)
+    assert sorted(p.name for p in (tmp_path / "run").iterdir()) == [f"{i}-{name}" for i, (name, _) in enumerate(whole, 1)]
+    monkeypatch.setattr(pipeline, "STAGES", whole)
+    first = pipeline.run(spark, sf_dir)
+    assert again.exceptAll(first).count() == first.exceptAll(again).count() == 0
+
+
 def test_edge_rows(spark, sf_dir):
     rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, "x y z", "en", "s", 5), (3, "x y z", "en", "s", 5), (None, "x y z", None, None, 1)]
     docs = setup(spark).createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")

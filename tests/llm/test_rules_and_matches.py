@@ -41,6 +41,23 @@ def test_long_and_repeated_texts(spark):
     assert got[TEXTS.index("w " * 4000)] == 4000
 
 
+def test_order_of_rules_is_the_same_in_three_runs(spark):
+    from pyspark.sql import functions as F
+
+    docs = setup(spark).range(2000).selectExpr("id AS doc_id", "concat(repeat('some words here ', 60), id) AS text")
+    dear = F.length(F.regexp_replace(F.lower("text"), "([a-z]+) ([a-z]+) ([a-z]+)", "$3 $1 $2")) % 3 == 0
+    rules = [
+        quality_rules.Rule("dear", dear & (F.col("doc_id") % 4 == 0)), quality_rules.Rule("cheap", F.col("doc_id") % 5 == 0),
+        quality_rules.Rule("same_as_cheap", (F.col("doc_id") % 5 == 0) & (F.crc32(F.col("text").cast("binary")) >= 0)), quality_rules.Rule("never", F.col("doc_id") < 0),
+    ]
+    orders = [[e.rule.name for e in quality_rules.estimate(docs, rules)] for _ in range(3)]
+    assert orders[0] == orders[1] == orders[2] and orders[0][0] == "cheap"
+    found = {e.rule.name: e for e in quality_rules.estimate(docs, rules)}
+    assert found["dear"].seconds > 3 * found["cheap"].seconds
+    # What the rules before it have rejected doesn't count for a rule.
+    assert found["same_as_cheap"].rejected == 0 and found["cheap"].rejected == 0.2
+
+
 def test_cascade_orders_by_rejection_per_cost_and_keeps_the_verdict(spark):
     setup(spark)
     docs = spark.range(500).selectExpr("id AS doc_id", "repeat('word ', cast(id % 40 AS int)) AS text")
