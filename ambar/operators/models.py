@@ -82,7 +82,7 @@ def gathered(train: DataFrame) -> DataFrame:
 
 
 def cross_fit(
-    pipeline: Pipeline, folded: DataFrame, label: str, fold: str = "fold", folds: int = CV_FOLDS, parallelism: int = 4
+    pipeline: Pipeline, folded: DataFrame, label: str, fold: str = "fold", folds: int = CV_FOLDS, parallelism: int = CV_FOLDS
 ) -> DataFrame:
     """Every row's score by the model of the folds that it is not in: the evaluation frame with ``fold``.
 
@@ -99,7 +99,7 @@ def cross_fit(
 
 
 def cross_validate(
-    pipeline: Pipeline, folded: DataFrame, label: str, fold: str = "fold", folds: int = CV_FOLDS, parallelism: int = 4
+    pipeline: Pipeline, folded: DataFrame, label: str, fold: str = "fold", folds: int = CV_FOLDS, parallelism: int = CV_FOLDS
 ) -> DataFrame:
     """Area under the ROC curve per fold, each scored by a model of the other folds: (fold, roc_auc)."""
     return roc_auc(cross_fit(pipeline, folded, label, fold, folds, parallelism).select(fold, "label", "score"), [fold])

@@ -46,7 +46,7 @@ def random_search(
     fold: str = "fold",
     seed: int = SEED,
     parallelism: int = 8,
-    early_stop: float | None = 0.01,
+    early_stop: float | None = 0.0,
     rungs: int = 1,
     **overrides,
 ) -> tuple[PipelineModel, DataFrame]:
@@ -56,8 +56,8 @@ def random_search(
     is fitted once per fold and its vectors are shared by all candidates, which are fitted ``parallelism`` at a time.
 
     Every candidate is fitted in every fold. With ``early_stop`` a fit adds trees until the loss of the rows that its fold
-    holds back has stopped falling (by that tolerance); the trees then spared are those that would only have fitted the
-    training rows. With more than one rung, candidates first get a fraction of their trees (a half per rung to go) and
+    holds back no longer falls by more than that share (0: until it rises); the trees then spared are those that would only
+    have fitted the training rows. Small learning rates need a small share, or they stop at once. With more than one rung, candidates first get a fraction of their trees (a half per rung to go) and
     the better half of them goes on; those that dropped out rank behind, by their last area.
     """
     space = {name: options for name, options in space.items() if name not in NOT_APPLIED and name not in overrides}
