@@ -29,7 +29,7 @@ WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 
 SAMPLE_ROWS = 2000
-LEAST_SECONDS, MOST_COPIES, RUNS = 0.15, 1024, 3  # of the timing of a rule
+FIRST_COPIES, MOST_COPIES, LEAST_SECONDS, RUNS = 64, 512, 0.1, 3  # of the timing of a rule
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -122,7 +122,7 @@ def prose_rules(text: str = "text") -> list[Rule]:
 def cost(sample: DataFrame, fails: Column, rows: int) -> float:
     """Seconds that a rule takes for one row of ``sample``, beyond what a job and reading the rows take.
 
-    The rule is run over copies of the sample, twice as many each time, until a run lasts ``LEAST_SECONDS`` beyond an idle
+    The rule is run over copies of the sample, eight times as many each time, until a run lasts ``LEAST_SECONDS`` beyond an idle
     one over as many copies. The least of ``RUNS`` differences counts, so that other work on the machine adds little.
     """
 
@@ -132,12 +132,12 @@ def cost(sample: DataFrame, fails: Column, rows: int) -> float:
         sample.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).agg(F.count(F.when(column, 1))).first()
         return time.perf_counter() - start
 
-    copies = 1
+    copies = FIRST_COPIES
     while True:
         idle, busy = run(F.col("_copy") < 0, copies), run(fails & (F.col("_copy") > 0), copies)
         if busy - idle >= LEAST_SECONDS or copies >= MOST_COPIES:
             break
-        copies *= 4 if busy - idle < LEAST_SECONDS / 4 else 2
+        copies *= 8
     found = [busy - idle] + [run(fails & (F.col("_copy") > 0), copies) - run(F.col("_copy") < 0, copies) for _ in range(RUNS - 1)]
     # The difference of two quick runs may come out below 0: then the rule costs less than can be told.
     return max(min(found), LEAST_SECONDS / 100) / (copies * max(1, rows))
@@ -159,7 +159,7 @@ def estimate(df: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS, s
     while open_rules:
         remaining = sum(left.values())
         share = {k: sum(n for failing, n in left.items() if failing >> k & 1) / max(1, remaining) for k, _ in open_rules}
-        k, rule = max(open_rules, key=lambda o: (share[o[0]] / seconds[o[1].name], -seconds[o[1].name], o[1].name))
+        k, rule = max(open_rules, key=lambda o: share[o[0]] / seconds[o[1].name])  # of equals the first: what rejects nothing more keeps its place
         out.append(Estimate(rule, seconds[rule.name], share[k]))
         left = {failing: n for failing, n in left.items() if not failing >> k & 1}
         open_rules = [o for o in open_rules if o[0] != k]
