@@ -29,7 +29,7 @@ WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 
 SAMPLE_ROWS = 2000
-FIRST_COPIES, MOST_COPIES, LEAST_SECONDS, RUNS = 64, 512, 0.1, 3  # of the timing of a rule
+FIRST_COPIES, MOST_COPIES, LEAST_SECONDS, RUNS = 16, 128, 0.1, 3  # of the timing of a rule
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
