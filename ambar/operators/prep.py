@@ -217,6 +217,65 @@ class _Reader(MLReader):
         return model
 
 
+# As many bins as the booster makes of a number, but for one that is left for the value put in where it is missing.
+BINS = 31
+
+
+def fit_bins(train: DataFrame, numeric: list[str], bins: int = BINS) -> BinModel:
+    """Upper ends of each number's bins, of about as many train rows each; a column of no more values than bins keeps all."""
+    model, ends = BinModel(numeric), [i / bins for i in range(1, bins + 1)]
+    clean = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in numeric}
+    for c, value in clean.items():
+        found = [r[0] for r in train.select(value.alias("value")).where("value IS NOT NULL").distinct().limit(bins + 1).collect()]
+        if len(found) > bins:
+            found = train.agg(F.percentile_approx(value, ends, 10_000)).first()[0]
+        model.ends[c] = sorted(set(found))
+    return model
+
+
+class BinModel(Model, MLWritable, MLReadable):
+    """Numbers as the upper end of their bin; beyond the last bin, as its end. Missing ones stay missing."""
+
+    def __init__(self, numeric=()):
+        super().__init__()
+        self.ends: dict[str, list[float]] = {c: [] for c in numeric}
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        added = {}
+        for c, ends in self.ends.items():
+            value = F.col(f"`{c}`").cast("double")
+            out = F.when(value.isNull() | F.isnan(value), F.lit(None).cast("double"))
+            for end in ends:
+                out = out.when(value <= end, F.lit(end))
+            added[c] = out.otherwise(F.lit(ends[-1] if ends else None).cast("double"))
+        return dataset.withColumns(added) if added else dataset
+
+    def write(self) -> MLWriter:
+        return _BinWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _BinReader()
+
+
+class _BinWriter(MLWriter):
+    def __init__(self, model: BinModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession, extraMetadata={"bins": json.dumps(self.model.ends)})
+
+
+class _BinReader(MLReader):
+    def load(self, path: str) -> BinModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = BinModel()
+        model._resetUid(metadata["uid"])
+        model.ends = json.loads(metadata["bins"])
+        return model
+
+
 def new_path(spark, name: str) -> str:
     """A new folder for something that is saved, below the checkpoint folder."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

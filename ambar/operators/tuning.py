@@ -7,13 +7,13 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ambar.fixed import PRESETS, SEARCH_DRAWS, SEARCH_FOLDS, SEARCH_SPACE, SEED
 from ambar.operators.models import booster, gathered
-from ambar.operators.prep import TabularPreprocessor
+from ambar.operators.prep import BinModel, TabularModel, TabularPreprocessor, fit_bins
 from ambar.session import small_frame, stored
 
 
@@ -33,6 +33,26 @@ def draw_candidates(space: dict[str, list], draws: int, seed: int) -> list[dict]
 # Drawn by the reference space but without effect here: the booster has no such penalties.
 NOT_APPLIED = ("reg_alpha", "reg_lambda")
 HELD = "held_back"
+ROWS = "n_rows"
+# Rows of one cell are dealt over so many parts, so that a subsample draws some of them and not all or none.
+PARTS = 16
+
+
+def cells(df: DataFrame, bins: BinModel, label: str, features: list[str], held: Column) -> DataFrame:
+    """Rows of equal label and binned features, counted: as many as there are such combinations at most, times ``PARTS``."""
+    part = F.when(held, 0).otherwise(F.pmod(F.xxhash64(*df.columns), F.lit(PARTS)))
+    keyed = bins.transform(df.withColumns({HELD: held, "_part": part}))
+    return keyed.groupBy(label, *features, HELD, "_part").agg(F.count("*").cast("double").alias(ROWS)).drop("_part")
+
+
+def prepared(folded: DataFrame, label: str, prep: TabularPreprocessor, held: Column) -> tuple[BinModel, TabularModel, DataFrame]:
+    """Bins and preprocessor fitted on the rows that aren't held back, and the vectors of all cells with their rows."""
+    train = folded.where(~held)
+    bins = fit_bins(train, prep.numeric)
+    fitted = prep.fit(bins.transform(train))
+    table = stored(cells(folded, bins, label, [*prep.numeric, *prep.categorical], held))
+    vectors = stored(fitted.transform(table).select(label, "features", ROWS, HELD), [HELD])
+    return bins, fitted, gathered(vectors)
 
 
 def random_search(
@@ -55,6 +75,10 @@ def random_search(
     Draws are distinct in the parameters that have an effect and that ``overrides`` leaves open. The preprocessor
     is fitted once per fold and its vectors are shared by all candidates, which are fitted ``parallelism`` at a time.
 
+    Numbers are binned once per fold, as finely as the booster bins them itself, and rows that agree in label and all
+    features are fitted as one with their number as its weight. All rows count, but passes read no more than there are
+    combinations, however many rows there are. A subsample draws parts of such cells, and ``min_child_weight`` counts them.
+
     Every candidate is fitted in every fold. With ``early_stop`` a fit adds trees until the loss of the rows that its fold
     holds back no longer falls by more than that share (0: until it rises); the trees then spared are those that would only
     have fitted the training rows. Small learning rates need a small share, or they stop at once. With more than one rung, candidates first get a fraction of their trees (a half per rung to go) and
@@ -62,18 +86,18 @@ def random_search(
     """
     space = {name: options for name, options in space.items() if name not in NOT_APPLIED and name not in overrides}
     candidates, folded = draw_candidates(space, draws, seed), stored(folded, [fold])
-    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
-    shared = []
-    for i in range(folds):
-        fitted = prep.fit(folded.where(F.col(fold) != i))
-        vectors = stored(gathered(fitted.transform(folded)).select(label, "features", (F.col(fold) == i).alias(HELD)), [HELD])
+    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0, weightCol=ROWS)
+    shared, splits = [], [*[F.col(fold) == i for i in range(folds)], F.lit(False)]
+    with ThreadPool(len(splits)) as pool:
+        *parts, whole = pool.map(lambda held: prepared(folded, label, prep, F.coalesce(held, F.lit(False))), splits, chunksize=1)
+    for _, _, vectors in parts:
         shared.append((vectors.where(F.col(HELD)).persist(), (vectors if early_stop is not None else vectors.where(~F.col(HELD))).persist()))
 
     def area_of(task: tuple[int, int, int]) -> float:
         k, i, rung = task
         params = {**candidates[k], **overrides}
         trees = params.get("n_estimators", PRESETS[preset]["n_estimators"])
-        model = booster(preset, label, **{**params, "n_estimators": max(1, trees >> (rungs - 1 - rung))})
+        model = booster(preset, label, **{**params, "n_estimators": max(1, trees >> (rungs - 1 - rung))}).setWeightCol(ROWS)
         if early_stop is not None:
             model = model.setValidationIndicatorCol(HELD).setParams(validationTol=early_stop)
         held_out, rows = shared[i]
@@ -99,7 +123,6 @@ def random_search(
     ]
     fields = [T.StructField("rank", T.IntegerType()), T.StructField("mean_auc", T.DoubleType())]
     schema = T.StructType(fields + [T.StructField(name, T.DoubleType()) for name in names])
-    best = booster(preset, label, **{**candidates[order[0]], **overrides})
-    fitted = prep.fit(folded)
-    refit = best.fit(gathered(fitted.transform(folded).select(label, "features")))
-    return PipelineModel([fitted, refit]), small_frame(folded.sparkSession, rows, schema)
+    bins, fitted, vectors = whole
+    best = booster(preset, label, **{**candidates[order[0]], **overrides}).setWeightCol(ROWS)
+    return PipelineModel([bins, fitted, best.fit(vectors)]), small_frame(folded.sparkSession, rows, schema)

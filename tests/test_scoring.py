@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from ambar.operators import context, evaluate, explain, lookup, models, splits, tuning
+from ambar.operators import context, evaluate, explain, lookup, models, prep, splits, tuning
 from ambar.operators.prep import TabularPreprocessor
 from ambar.operators.running import next_values
 from ambar.plans import flows
@@ -200,6 +200,37 @@ def test_search_by_rungs_ranks_all_candidates(spark, editions, rungs):
     assert models.score(best, train, "alfabetizado").count() == train.count()
 
 
+def test_search_reads_cells_and_not_rows(spark, tmp_path):
+    """However many rows there are, fits read one per combination of bins, and all rows count in it."""
+    sizes = []
+    for n in (20_000, 80_000):
+        df = spark.range(n).selectExpr(
+            "id", "CAST((id * 7919) % 10007 / 10007 AS double) AS x", "IF(id % 11 = 0, NULL, CAST(id % 3 AS string)) AS c",
+            "CAST((id * 31) % 100 < 20 + 60 * ((id * 7919) % 10007) / 10007 AS int) AS y", "CAST(id % 2 AS int) AS fold",
+        ).withColumn("x", F.when(F.col("id") % 13 != 0, F.col("x")))
+        bins, fitted, vectors = tuning.prepared(df, "y", TabularPreprocessor(["x"], ["c"]), F.col("fold") == 0)
+        held = {r["held_back"]: r["n"] for r in vectors.groupBy("held_back").agg(F.sum("n_rows").alias("n")).collect()}
+        assert held == {True: n / 2, False: n / 2} and len(bins.ends["x"]) == 31
+        sizes.append(vectors.count())
+        assert sizes[-1] <= 32 * 4 * 2 * (tuning.PARTS + 1)
+    assert sizes[1] < 1.5 * sizes[0]
+    best, ranked = tuning.random_search(df, "y", TabularPreprocessor(["x"], ["c"]), draws=2, folds=2, n_estimators=4, max_depth=2)
+    assert ranked.agg(F.max("mean_auc")).first()[0] > 0.6
+    scored = models.score(best, df, "y").select("id", "score")
+    path = str(tmp_path / "best")
+    models.save_model(best, path)
+    again = models.score(models.load_model(spark, path), df, "y").select("id", "score")
+    assert scored.count() == 80_000 and scored.exceptAll(again).count() == 0
+
+
+def test_bins_keep_few_values_and_missing_ones(spark):
+    df = spark.createDataFrame([(float(i % 5), float(i)) for i in range(100)] + [(None, float("nan"))], "few double, many double")
+    bins = prep.fit_bins(df, ["few", "many"])
+    assert bins.ends["few"] == [0, 1, 2, 3, 4] and len(bins.ends["many"]) == prep.BINS
+    new = spark.createDataFrame([(1.5, 1e9), (None, float("nan")), (9.0, -5.0)], "few double, many double")
+    assert [tuple(r) for r in bins.transform(new).collect()] == [(2.0, 99.0), (None, None), (4.0, bins.ends["many"][0])]
+
+
 def test_past_results_replace_those_of_the_same_edition(spark, sf_dir):
     features = tpch.features_ml(tpch.indicadores(tpch.alunos(spark, sf_dir)))
     fitted = flows.aggregate_flow(features, 1999, 2000, past=True, **SHORT)
