@@ -30,7 +30,8 @@ PARAMETERS = {
     "seed": "seed",
 }
 
-ROWS_PER_TASK = 50_000
+# Rows that a task is worth, and that it may have at most where there are fewer cores than tasks.
+ROWS_PER_TASK, MOST_ROWS_PER_TASK = 50_000, 500_000
 
 
 def booster(preset: str, label: str, **overrides) -> GBTClassifier:
@@ -77,8 +78,13 @@ def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
 
 def gathered(train: DataFrame) -> DataFrame:
     """``train`` in no more partitions than its rows are worth: boosting runs a job per level of every tree, and on few
-    rows their number of tasks is what they cost."""
-    return train.coalesce(max(1, -(-train.count() // ROWS_PER_TASK)))
+    rows their number of tasks is what they cost. Nor in more than there are cores, unless parts would become too large."""
+    return train.coalesce(tasks_for(train.count(), train.sparkSession.sparkContext.defaultParallelism))
+
+
+def tasks_for(rows: int, cores: int) -> int:
+    """Tasks for a pass of boosting over so many rows."""
+    return max(1, min(-(-rows // ROWS_PER_TASK), max(cores, -(-rows // MOST_ROWS_PER_TASK))))
 
 
 def cross_fit(

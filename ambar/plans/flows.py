@@ -9,6 +9,9 @@ table. Validation, the tuned cut, bands and alerts all read that table.
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+from threading import RLock
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,20 +24,29 @@ from ambar.sources.samples import stratified_sample
 
 
 class Fitted:
-    """A fitted model with the rows it was fitted on, the rows held out, and the label's name.
+    """A model with the rows it is fitted on, the rows held out, and the label's name.
 
-    ``context`` is the stage that made the features of the flow's raw rows, if there is one; ``key`` tells rows apart.
+    The model is fitted when it is first asked for, or beside the fold models: a fit alone leaves most cores idle. ``context`` is the stage that made the features of the flow's raw rows, if there is one; ``key`` tells rows apart.
     """
 
     def __init__(
-        self, model: PipelineModel, train: DataFrame, test: DataFrame, label: str, pipeline: Pipeline, key: str | Column,
+        self, train: DataFrame, test: DataFrame, label: str, pipeline: Pipeline, key: str | Column,
         context: lookup.StoredContext | None = None,
     ):
-        self.model, self.train, self.test, self.label = model, train, test, label
+        self.train, self.test, self.label = train, test, label
         self.pipeline, self.key, self.context = pipeline, key, context
+        self._fitting = RLock()
+        self._model: PipelineModel | None = None
         self._out_of_fold: DataFrame | None = None
         self._cut: float | None = None
 
+    @property
+    def model(self) -> PipelineModel:
+        with self._fitting:
+            if self._model is None:
+                self._model = models.fit(self.pipeline, self.train)
+            return self._model
+
     def scored(self, split: str = "test") -> DataFrame:
         return models.score(self.model, self.train if split == "train" else self.test, self.label)
 
@@ -45,8 +57,12 @@ class Fitted:
     def out_of_fold(self, folds: int = CV_FOLDS) -> DataFrame:
         """The train rows with scores of models that haven't seen them, and their ``fold``. Stored on the first call."""
         if self._out_of_fold is None:
-            folded = splits.stratified_folds(self.train, self.label, self.key, folds)
-            self._out_of_fold = models.cross_fit(self.pipeline, folded, self.label, folds=folds)
+            with ThreadPool(1) as pool:
+                whole = pool.apply_async(lambda: self.model)
+                folded = splits.stratified_folds(self.train, self.label, self.key, folds)
+                found = models.cross_fit(self.pipeline, folded, self.label, folds=folds)
+                whole.get()
+            self._out_of_fold = found
         return self._out_of_fold
 
     def cross_validation(self) -> DataFrame:
@@ -64,11 +80,17 @@ class Fitted:
         return evaluate.apply_cut(self.scored(split), self.cut())
 
 
+def side_by_side(steps: list) -> list:
+    """The results of functions without arguments, which run at the same time."""
+    with ThreadPool(len(steps)) as pool:
+        return pool.map(lambda step: step(), steps, chunksize=1)
+
+
 def _fit(
     frame: DataFrame, label: str, train: int, test: int, preset: str, not_features: list[str],
     fraction: float | None = None, key: str | Column = "id_registro", context: lookup.StoredContext | None = None, **overrides,
 ) -> Fitted:
-    """Store the frame by edition and fit on the train edition, on a sample by class of it if a fraction is given."""
+    """Store the frame by edition, to be fitted on the train edition, on a sample by class of it if a fraction is given."""
     # Fitting reads the frame many times, so it is built once and stored by edition.
     table = stored(frame.where(F.col("ano").isin(train, test)), ["ano"])
     train_rows, test_rows = splits.temporal_split(table, "ano", train, test)
@@ -76,7 +98,7 @@ def _fit(
         train_rows = stored(stratified_sample(train_rows, label, {0: fraction, 1: fraction}, "id_registro"))
     features = [c for c in train_rows.columns if c != label and c not in not_features]
     pipeline = models.build_pipeline(train_rows, preset, label, features, **overrides)
-    return Fitted(models.fit(pipeline, train_rows), train_rows, test_rows, label, pipeline, key, context)
+    return Fitted(train_rows, test_rows, label, pipeline, key, context)
 
 
 def aggregate_flow(features: DataFrame, train: int, test: int, label: str = "meta_atingida", past: bool = False, **overrides) -> Fitted:

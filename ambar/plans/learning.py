@@ -151,9 +151,17 @@ def gbt_historico(spark, sf_dir):
 def model_evolution(spark, sf_dir):
     """Pupils of both editions on both sides, then of one edition only, then with history, with engineered features, and
     these at the cut tuned on out-of-fold scores: metrics on the test edition and gains."""
-    shared = flows.pupil_flow(editions(spark, sf_dir), TRAIN, TEST, single_period=False)
-    clean, history, engineered = (make(spark, sf_dir) for make in (pupil_model, history_model, engineered_model))
-    steps = [("entre_edicoes", shared.scored()), ("individual", clean.scored()), ("historico", history.scored()), ("melhorado", engineered.scored()), ("melhorado_corte", engineered.at_cut())]
+
+    def tuned():
+        fitted = engineered_model(spark, sf_dir)
+        fitted.out_of_fold()  # the fold models are fitted beside the model, not after it
+        return fitted.scored(), fitted.at_cut()
+
+    shared, clean, history, (engineered, at_cut) = flows.side_by_side([
+        lambda: flows.pupil_flow(editions(spark, sf_dir), TRAIN, TEST, single_period=False).scored(),
+        lambda: pupil_model(spark, sf_dir).scored(), lambda: history_model(spark, sf_dir).scored(), tuned,
+    ])
+    steps = [("entre_edicoes", shared), ("individual", clean), ("historico", history), ("melhorado", engineered), ("melhorado_corte", at_cut)]
     return evaluate.compare_models(steps)
 
 

@@ -16,9 +16,10 @@ from ambar.plans.oracle import sql
 def flow_cv(spark, sf_dir):
     """Area under the ROC curve of each fold, for the three pupil models."""
     found = [("individual", pupil_model), ("historico", history_model), ("melhorado", engineered_model)]
+    areas = flows.side_by_side([lambda make=make: make(spark, sf_dir).cross_validation() for _, make in found])
     out = None
-    for name, fitted in found:
-        part = fitted(spark, sf_dir).cross_validation().select(F.lit(name).alias("model"), "fold", "roc_auc")
+    for (name, _), area in zip(found, areas):
+        part = area.select(F.lit(name).alias("model"), "fold", "roc_auc")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -38,6 +39,7 @@ def out_of_fold_cover(spark, sf_dir):
 def metrics_at_best_modelo(spark, sf_dir):
     """The engineered model on the test edition, at the cut of 0.5 and at the one tuned on its out-of-fold scores."""
     fitted = engineered_model(spark, sf_dir)
+    fitted.out_of_fold()  # the fold models are fitted beside the model, not after it
     out = evaluate.compare_models([("cut_default", fitted.scored()), ("cut_tuned", fitted.at_cut())])
     return out.withColumn("threshold", F.when(F.col("model") == "cut_default", 0.5).otherwise(fitted.cut()))
 

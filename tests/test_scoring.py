@@ -1,6 +1,7 @@
 """Cross-fitted scores, stored context, screens, curves by corners, match rates."""
 
 import random
+import threading
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -200,6 +201,19 @@ def test_search_by_rungs_ranks_all_candidates(spark, editions, rungs):
     assert models.score(best, train, "alfabetizado").count() == train.count()
 
 
+def test_the_model_is_fitted_beside_its_fold_models(editions, monkeypatch):
+    fitted = flows.pupil_flow(editions, 1999, 2000, **SHORT)
+    barrier, kept = threading.Barrier(4, timeout=120), models.fit
+    monkeypatch.setattr(models, "fit", lambda *a: (barrier.wait(), kept(*a))[1])
+    # Breaks if any of the four fits waits for another.
+    assert fitted.out_of_fold(3).select("fold").distinct().count() == 3
+    assert fitted.model is fitted.model and fitted.scored().count() == fitted.test.count()
+
+
+def test_boosting_has_no_more_tasks_than_cores():
+    assert [models.tasks_for(n, 12) for n in (0, 50_000, 300_000, 1_800_000, 9_000_000)] == [1, 1, 6, 12, 18]
+
+
 def test_search_reads_cells_and_not_rows(spark, tmp_path):
     """However many rows there are, fits read one per combination of bins, and all rows count in it."""
     sizes = []
