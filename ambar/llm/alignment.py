@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ambar.llm.common import flat, kept_once, map_batches, mix64, table
-from ambar.llm.tokens import public_path
+from ambar.llm.tokens import byte_values, public_path
 from ambar.operators.joins import measured_bytes, salted_join
 
 SHARDS = 256
@@ -51,14 +51,6 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 find_pieces = re.compile(r" [^ ]*(?:(?<=\s) [^ ]*)*").findall
 
 
-def byte_values() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for: printable ones are themselves, all others
-    follow from U+0100 on, in order."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in own]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class Bytewise:
     """Ids of texts and the bytes of each id, by the library of a tokenizer's file."""
 

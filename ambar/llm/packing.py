@@ -28,12 +28,13 @@ from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ambar.llm.common import kept_once, map_batches, table, texts
+from ambar.llm.common import kept_once, map_batches, table
 from ambar.llm.tokens import encoder, public_path
 from ambar.operators.joins import sized_join
 from ambar.session import small_frame
@@ -163,16 +164,21 @@ def _encode(path: str, end_id: int):
 
     def run(batches):
         enc, seen, part = encoder(path), {}, TaskContext.get().partitionId()
-        end = enc.pack([end_id])
         for batch in batches:
-            out = {name: [] for name in ENCODED.names}
-            for doc, source, ids in zip(batch.column("doc_id").to_pylist(), batch.column("queue").to_pylist(), enc.ids_of(texts(batch))):
-                ids += end
-                n = len(ids) // len(end)
-                for name, value in zip(ENCODED.names, (doc, source, part, seen.get(source, 0), n, ids)):
-                    out[name].append(value)
-                seen[source] = seen.get(source, 0) + n
-            yield pa.RecordBatch.from_pydict(out, schema=ENCODED)
+            ids, at = enc.encode(pc.fill_null(batch.column("text"), ""))
+            n, places = np.diff(at) + 1, []
+            last = np.cumsum(n)  # behind each document's end token
+            whole = np.full(last[-1] if len(last) else 0, end_id, ids.dtype)
+            own = np.ones(len(whole), bool)
+            own[last - 1] = False
+            whole[own] = ids
+            for source, size in zip(batch.column("queue").to_pylist(), n.tolist()):
+                places.append(seen.get(source, 0))
+                seen[source] = places[-1] + size
+            starts = np.concatenate([[0], last]) * ids.itemsize
+            stored = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(starts), pa.py_buffer(whole)])
+            columns = [batch.column("doc_id"), batch.column("queue"), pa.repeat(part, len(n)), places, n, stored]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) if isinstance(c, (list, np.ndarray)) else c.cast(f.type) for c, f in zip(columns, ENCODED)], schema=ENCODED)
 
     return run
 

@@ -1,6 +1,8 @@
 """Token counts and packing against the library itself."""
 
+import json
 import random
+import re
 import zlib
 
 import numpy as np
@@ -10,7 +12,7 @@ from ambar.llm import packing
 from ambar.llm.common import setup, table
 from ambar.llm.queries import QUERIES
 from ambar.llm.token_counts import count_spliced, count_tokens, splice
-from ambar.llm.tokens import Encoder, public_path
+from ambar.llm.tokens import Encoder, Ranked, byte_values, public_path
 
 PATH = public_path("word_bpe_49k.json")
 
@@ -33,6 +35,46 @@ def test_word_by_word_is_what_the_library_gives():
         assert np.frombuffer(enc.ids_of([text])[0], "<u2").tolist() == ids(text), repr(text)
 
 
+def test_plain_words_are_encoded_by_ranks():
+    enc, ids = Encoder(PATH), library()
+    random.seed(5)
+    plain = [c for c in map(chr, range(0x21, 0x450)) if re.match(enc.ranked.plain, c)]
+    assert set("aZ0é'|>_Žя") <= set(plain) and not set("<²µİ×\u0301") & set(plain)
+    words = [w for c in plain for w in (c, f"a{c}", f"{c}s", f"'{c}l", f"1{c}{c}")]
+    words += ["".join(random.choices(plain[:90] if k % 2 else plain, k=random.randint(1, 30))) for k in range(3000)]
+    words += ["".join(random.choices("etaonrisdlu'", k=random.randint(1, 200))) for _ in range(300)]
+    asked = []
+
+    class Counted:
+        def encode(self, text, **kwargs):
+            asked.append(text)
+            return tokenizer.encode(text, **kwargs)
+
+    tokenizer, enc.tokenizer = enc.tokenizer, Counted()
+    found = [np.frombuffer(x, "<u2").tolist() for x in enc.ids_of(words)]
+    assert not asked  # the library encoded each new word before
+    assert found == [ids(w) for w in words]
+    mixed = [" ".join(random.choices([*words, *ODD, "q" * 300, "e\u0301", "J\u030c", "a<|endoftext|>b", "<|startoftext|>"], k=40)) for _ in range(60)]
+    assert [np.frombuffer(x, "<u2").tolist() for x in enc.ids_of(mixed)] == [ids(t) for t in mixed]
+    assert asked and enc.ids_of([]) == [] and enc.counts(["", "  ", " a "]) == [0, 0, 1]
+
+
+def test_ranks_only_where_they_are_proven():
+    with open(PATH, encoding="utf-8") as file:
+        spec = json.load(file)
+
+    def changed(merges, **other):
+        names = [*byte_values(), *(c + "</w>" for c in byte_values()), *dict.fromkeys(a + b for a, b in merges)]
+        return Ranked.of(spec | {"model": spec["model"] | {"vocab": {n: k for k, n in enumerate(names)}, "merges": merges}} | other)
+
+    assert changed([["a", "b"], ["ab", "c"]]) is not None
+    # The library gives a + bc for abc, ranks would give abc.
+    assert changed([["b", "c"], ["a", "b"], ["ab", "c"]]) is None
+    assert changed([["a", "b"], ["b", "c"], ["ab", "c"], ["a", "bc"]]) is None
+    assert changed([["a", "b"]], normalizer=None) is None
+    assert changed([["a", "b"]], added_tokens=[{"content": "end", "lstrip": False, "rstrip": False}]) is None
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_splices_do_not_change_the_count(spark, sf_dir, name):
     enc, ids = Encoder(public_path(name)), library(public_path(name))
