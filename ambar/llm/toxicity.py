@@ -21,16 +21,19 @@ empty result. Input columns stay, except those with a result's name.
 
 from __future__ import annotations
 
+import itertools
+import operator
 import re
 from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ambar.llm.common import Memo, apart, bounded_sample, find_words, fold, map_batches, table, texts
+from ambar.llm.common import apart, bounded_sample, fold, map_batches, table, texts
 from ambar.operators.joins import sized_join
 
 FIT_ROWS = 20_000
@@ -43,7 +46,6 @@ PREFIXES = (3, 4, 5, 6, 7)
 DEPENDENT = 0.05  # mutual information, in nats a row, from which two voters count as correlated within a class
 CUT = 0.3
 NOTHING_KNOWN = -4.0  # log odds without any labelled row: nothing is taken for toxic
-FLUSH = 300_000
 FOLDS, HELD_OUT = 4, 2
 
 # Patterns that often go with abuse in any text.
@@ -55,45 +57,110 @@ PATTERNS = [
 core_of = re.compile(r"^[\W_]+|[\W_]+$").sub
 
 
-def word_features(word: str) -> tuple[str, ...]:
-    """A lower-case word without punctuation around it, and its prefixes, as ``kind:text``."""
-    core = core_of("", word.lower())
-    if not core:
-        return ()
+def core_word(word: str) -> str:
+    """A lower-case word without punctuation around it."""
+    lower = word.lower()
+    return lower if lower.isalnum() else core_of("", lower)
+
+
+def core_features(core: str) -> tuple[str, ...]:
+    """A core and its prefixes, as ``kind:text``."""
     return (f"w:{core}", *[f"{n}:{core[:n]}" for n in PREFIXES if len(core) >= n])
 
 
-def text_features(text: str, memo: Memo) -> set[str]:
-    """``kind:text@level`` of what ``memo`` knows of the text's words."""
-    found = Counter()
-    for word, n in Counter(find_words(text)).items():
-        for f in memo[word]:
-            found[f] += n
-    return {f"{f}@{level}" for f, n in found.items() for level in LEVELS if n >= level}
+def coded_words(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct words of a column of texts, and of every word in the column the number of its text and its place among
+    the distinct ones. Arrow cuts at the characters between words, and may give empty words. A missing text is empty."""
+    words = pc.ascii_split_whitespace(column.fill_null(""))
+    coded = words.values.dictionary_encode()
+    return coded.dictionary.to_pylist(), np.repeat(np.arange(len(column)), np.diff(words.offsets.to_numpy())), coded.indices.to_numpy()
 
 
-def _count_features(batches):
-    memo, counts = Memo(word_features), [Counter(), Counter()]
+def tallied(row: np.ndarray, item: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, item, count) of the distinct pairs, in order; items are less than ``size``."""
+    pair, n = np.unique(row * max(size, 1) + item, return_counts=True)
+    return *np.divmod(pair, max(size, 1)), n
 
-    def rows():
-        keys = list(counts[0].keys() | counts[1].keys())
-        out = pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *[pa.array([c[k] for k in keys], pa.int64()) for c in counts]], ["feature", "clean", "toxic"])
-        for c in counts:
-            c.clear()
-        return out
 
-    for batch in batches:
-        for text, label in zip(texts(batch), batch.column("_label").to_pylist()):
-            counts[label].update(text_features(text, memo))
-            if len(counts[0]) + len(counts[1]) > FLUSH:
-                yield rows()
-    yield rows()
+def expanded(which: np.ndarray, lists: list) -> tuple[np.ndarray, np.ndarray]:
+    """Every member of ``lists[w]`` for each ``w`` in ``which``, and the position of that ``w``."""
+    sizes = np.array([len(x) for x in lists], np.int64)
+    members = np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(sizes.sum()))
+    n = sizes[which]
+    at = np.repeat(np.arange(len(which)), n)
+    within = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+    return members[(np.cumsum(sizes) - sizes)[which[at]] + within], at
+
 
+def _feature_counts(column: pa.Array, label: np.ndarray):
+    """(features, level, clean texts, toxic texts that have them as often) of a column of texts, a kind and level at a time.
 
-def known_features(names) -> Memo:
-    """Features of a word that some entry of ``names`` is about."""
-    stems = {name.rpartition("@")[0] for name in names}
-    return Memo(lambda word: tuple(f for f in word_features(word) if f in stems))
+    Words are looked at once for the whole column. Their cores are numbered in order, so that the cores of one prefix follow
+    each other within a text's sorted words: their counts are added up as runs.
+    """
+    words, row, code = coded_words(column)
+    cores = [core_word(w) for w in words]
+    ordered = sorted({*cores} - {""})
+    rank = {core: i for i, core in enumerate(ordered)}
+    ranks = np.array([rank.get(core, -1) for core in cores], np.int64)[code]
+    row, ranks, n = tallied(row[ranks >= 0], ranks[ranks >= 0], len(ordered))
+    sizes = np.array([len(core) for core in ordered], np.int64)
+    for kind in (None, *PREFIXES):
+        names = ordered if kind is None else [core[:kind] for core in ordered if len(core) >= kind]
+        if not names:
+            continue
+        first = np.array([True, *map(operator.ne, names, names[1:])])
+        names = pa.array([f"{kind or 'w'}:{name}" for name in itertools.compress(names, first)], pa.string())
+        group = np.full(len(ordered), -1)
+        group[sizes >= (kind or 0)] = np.cumsum(first) - 1
+        group = group[ranks]
+        has = np.flatnonzero(group >= 0)
+        of, group = row[has], group[has]
+        starts = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (group[1:] != group[:-1])))
+        found, item = np.add.reduceat(n[has], starts), 2 * group[starts] + label[of[starts]]
+        for level in LEVELS:
+            often = found >= level
+            found, item = found[often], item[often]
+            counts = np.bincount(item, minlength=2 * len(names)).reshape(-1, 2)
+            some = np.flatnonzero(counts.any(1))
+            if len(some):
+                yield names.take(pa.array(some)), level, counts[some, 0], counts[some, 1]
+
+
+def _count_features(batches):
+    for batch in batches:
+        for names, level, clean, toxic in _feature_counts(batch.column("text"), batch.column("_label").to_numpy().astype(np.int64)):
+            columns = [names, pa.repeat(pa.scalar(level, pa.int32()), len(names)), pa.array(clean, pa.int64()), pa.array(toxic, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["stem", "level", "clean", "toxic"])
+
+
+class Finder:
+    """Which of some features, ``kind:text@level``, the texts of a column have. A word is looked up once a column."""
+
+    def __init__(self, names: list[str]):
+        split = [name.rpartition("@") for name in names]
+        self.size = len(names)
+        self.stems = {stem: i for i, stem in enumerate(dict.fromkeys(stem for stem, _, _ in split))}
+        self.entries = [[] for _ in self.stems]
+        for i, (stem, _, _) in enumerate(split):
+            self.entries[self.stems[stem]].append(i)
+        self.level = np.array([int(level) for _, _, level in split], np.int64)
+        # Every feature of a core begins as the core does.
+        self.heads = {stem.partition(":")[2][: min(PREFIXES)] for stem in self.stems}
+
+    def find(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the found features, text by text and in order, and where each text's begin, with their end."""
+        words, row, code = coded_words(column)
+        cores, shortest = map(core_word, words), min(PREFIXES)
+        known = [tuple(self.stems[f] for f in core_features(c) if f in self.stems) if c[:shortest] in self.heads else () for c in cores]
+        some = np.array([bool(k) for k in known], bool)[code]
+        row, code = row[some], code[some]
+        stem, at = expanded(code, known)
+        row, stem, n = tallied(row[at], stem, len(self.stems))
+        entry, at = expanded(stem, self.entries)
+        enough = n[at] >= self.level[entry]
+        row, entry, _ = tallied(row[at][enough], entry[enough], self.size)
+        return entry, np.searchsorted(row, np.arange(len(column) + 1))
 
 
 @dataclass
@@ -104,19 +171,22 @@ class Model:
     intercept: float = 0.0
 
     def scorer(self):
-        weights = self.weights
-        memo = known_features(weights)
+        """What scores a column of texts."""
+        names = sorted(self.weights)
+        finder, weights = Finder(names), np.array([self.weights[f] for f in names], float)
 
-        def score(text: str) -> float:
-            total = sum(weights.get(f, 0.0) for f in sorted(text_features(text, memo)))
-            return float(1 / (1 + np.exp(-np.clip(self.intercept + total, -30, 30))))
+        def score(column: pa.Array) -> np.ndarray:
+            found, at = finder.find(column)
+            worth, at = weights[found].tolist(), at.tolist()
+            total = np.array([sum(worth[a:b]) for a, b in zip(at, at[1:])], float)
+            return 1 / (1 + np.exp(-np.clip(self.intercept + total, -30, 30)))
 
         return score
 
 
 def lexicon(labelled: DataFrame, size: int = LEXICON) -> list[str]:
     """The features that tell toxic documents best, by the lower bound of their share of toxic documents."""
-    counts = map_batches(labelled.select("text", "_label"), _count_features, "feature string, clean long, toxic long")
+    counts = map_batches(labelled.select("text", "_label"), _count_features, "stem string, level int, clean long, toxic long")
     n, p = F.col("toxic") + F.col("clean"), F.col("toxic") / (F.col("toxic") + F.col("clean"))
     z2 = 1.96**2
     wilson = (p + z2 / (2 * n) - 1.96 * F.sqrt((p * (1 - p) + z2 / (4 * n)) / n)) / (1 + z2 / n)
@@ -124,10 +194,11 @@ def lexicon(labelled: DataFrame, size: int = LEXICON) -> list[str]:
     toxic = {r["_label"]: r["count"] for r in totals}
     least = max(MIN_SUPPORT, MIN_SHARE * toxic.get(1, 0))
     rows = (
-        counts.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        counts.groupBy("stem", "level").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .where(F.col("toxic") >= least)
         .withColumn("bound", wilson)
         .where(F.col("bound") > MIN_BOUND)
+        .withColumn("feature", F.concat("stem", F.lit("@"), F.col("level").cast("string")))
         .orderBy(F.desc("bound"), F.desc(F.length("feature")), "feature")
         .limit(size)
         .collect()
@@ -175,14 +246,12 @@ def _examples(features: list[str]):
     """Entries and patterns found in each sampled row, and its label."""
 
     def run(batches):
-        known, memo = {f: i for i, f in enumerate(features)}, known_features(features)
+        finder = Finder(features)
         for batch in batches:
-            whole = texts(batch)
-            found = [sorted(known[f] for f in text_features(t, memo) if f in known) for t in whole]
-            hits = [[bool(p.search(t)) for p in PATTERNS] for t in whole]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.list_(pa.int32())), pa.array(hits, pa.list_(pa.bool_())), batch.column("_label")], ["found", "hits", "label"]
-            )
+            entries, at = finder.find(batch.column("text"))
+            found = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(entries, pa.int32()))
+            hits = [[bool(p.search(t)) for p in PATTERNS] for t in texts(batch)]
+            yield pa.RecordBatch.from_arrays([found, pa.array(hits, pa.list_(pa.bool_())), batch.column("_label")], ["found", "hits", "label"])
 
     return run
 
@@ -336,7 +405,7 @@ def score(df: DataFrame, model: Model, name: str = "score", text: str = "text")
     def run(batches):
         of = model.scorer()
         for batch in batches:
-            scores = pa.array([of(t) for t in texts(batch, text)], pa.float64())
+            scores = pa.array(of(batch.column(text)), pa.float64())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], scores], [*names, name])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)

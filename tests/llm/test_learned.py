@@ -4,10 +4,12 @@ import itertools
 import math
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ambar.llm import hmm, language_id, site_quality, toxicity
@@ -66,6 +68,59 @@ def test_toxicity_edge_rows(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def features_by_hand(text):
+    found = Counter()
+    for word in re.findall(r"[^\x20\x09-\x0D]+", text or ""):
+        if core := re.sub(r"^[\W_]+|[\W_]+$", "", word.lower()):
+            found.update([f"w:{core}", *[f"{n}:{core[:n]}" for n in (3, 4, 5, 6, 7) if len(core) >= n]])
+    return {f"{f}@{level}" for f, n in found.items() for level in (1, 2, 3, 4, 6) if n >= level}
+
+
+def test_features_and_scores_of_a_column_are_those_of_its_texts():
+    draw = random.Random(3)
+    parts = [*"aAb_-#1é", "abc", "abcd", "abcdefgh", "İ", "Σ", "\x1c", "\x85", "\xa0", "½", *" \n\t\x0b\x0c\r" * 2]
+    whole = [None, "", " \n", "-- _", *["".join(draw.choices(parts, k=draw.randrange(1, 150))) for _ in range(200)]]
+    label = [draw.randrange(2) for _ in whole]
+    batch = pa.record_batch([pa.array(whole, pa.string()), pa.array(label, pa.int32())], ["text", "_label"])
+    want = [Counter(), Counter()]
+    for text, y in zip(whole, label):
+        want[y].update(features_by_hand(text))
+    got = [Counter(), Counter()]
+    for out in toxicity._count_features(iter([batch, batch.slice(0, 0)])):
+        for r in out.to_pylist():
+            got[0][f"{r['stem']}@{r['level']}"] += r["clean"]
+            got[1][f"{r['stem']}@{r['level']}"] += r["toxic"]
+    assert [+c for c in got] == want
+    weights = {f: draw.uniform(-1, 1) for f in draw.sample(sorted(want[0] | want[1]), 60)}
+    names = [*weights]
+    found = [r["found"] for r in pa.Table.from_batches(toxicity._examples(names)(iter([batch]))).to_pylist()]
+    assert found == [[i for i, f in enumerate(names) if f in features_by_hand(text)] for text in whole]
+    scores = toxicity.Model(weights, -0.5).scorer()(batch.column("text").slice(2))
+    for text, score in zip(whole[2:], scores):
+        assert math.isclose(score, 1 / (1 + math.exp(0.5 - sum(weights[f] for f in features_by_hand(text) if f in weights))), rel_tol=1e-9)
+
+
+def test_counting_features_takes_no_python_steps_per_text():
+    def calls(rows):
+        n = 0
+
+        def called(frame, event, what):
+            nonlocal n
+            n += event in ("call", "c_call")
+
+        whole = [f"some words that every text has {'again ' * (i % 3)}" for i in range(rows)]
+        batch = pa.record_batch([pa.array(whole), pa.array([i % 2 for i in range(rows)], pa.int32())], ["text", "_label"])
+        sys.setprofile(called)
+        try:
+            list(toxicity._count_features(iter([batch])))
+        finally:
+            sys.setprofile(None)
+        return n
+
+    calls(20)
+    assert calls(2000) < 2 * calls(20)
+
+
 # ---- language
 
 
