@@ -66,7 +66,7 @@ def random_search(
     fold: str = "fold",
     seed: int = SEED,
     parallelism: int = 8,
-    early_stop: float | None = 0.0,
+    early_stop: float | None = None,
     rungs: int = 1,
     **overrides,
 ) -> tuple[PipelineModel, DataFrame]:
@@ -79,10 +79,10 @@ def random_search(
     features are fitted as one with their number as its weight. All rows count, but passes read no more than there are
     combinations, however many rows there are. A subsample draws parts of such cells, and ``min_child_weight`` counts them.
 
-    Every candidate is fitted in every fold. With ``early_stop`` a fit adds trees until the loss of the rows that its fold
-    holds back no longer falls by more than that share (0: until it rises); the trees then spared are those that would only
-    have fitted the training rows. Small learning rates need a small share, or they stop at once. With more than one rung, candidates first get a fraction of their trees (a half per rung to go) and
-    the better half of them goes on; those that dropped out rank behind, by their last area.
+    Every candidate is fitted in every fold with all its trees. Two ways to spend less are off unless asked for: with
+    ``early_stop`` a fit adds trees until the loss of the rows that its fold holds back no longer falls by more than that
+    share (0: until it rises). With more than one rung, candidates first get a fraction of their trees (a half per rung to
+    go) and the better half of them goes on; those that dropped out rank behind, by their last area.
     """
     space = {name: options for name, options in space.items() if name not in NOT_APPLIED and name not in overrides}
     candidates, folded = draw_candidates(space, draws, seed), stored(folded, [fold])
