@@ -87,6 +87,12 @@ def tasks_for(rows: int, cores: int) -> int:
     return max(1, min(-(-rows // ROWS_PER_TASK), max(cores, -(-rows // MOST_ROWS_PER_TASK))))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, where its files are read by fewer tasks: scoring costs many times what reading does."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def cross_fit(
     pipeline: Pipeline, folded: DataFrame, label: str, fold: str = "fold", folds: int = CV_FOLDS, parallelism: int = CV_FOLDS
 ) -> DataFrame:

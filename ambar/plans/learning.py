@@ -236,7 +236,8 @@ def random_search(spark, sf_dir):
 def random_search_best(spark, sf_dir):
     """Metrics of the search's winner on the test edition."""
     best, _, test = _search(spark, sf_dir)
-    return evaluate.metrics(models.score(best, test, "alfabetizado"))
+    scored = models.score(best, models.spread(test), "alfabetizado").select("label", "prediction", "score")
+    return evaluate.metrics(stored(scored))  # read twice, and many trees are what a row costs
 
 
 def random_search_cover(spark, sf_dir):

@@ -125,3 +125,22 @@ def test_labels_must_be_0_or_1(rows):
     odd = rows.withColumn("y", F.when(F.col("id") != 5, F.col("y")))
     with pytest.raises(ValueError, match="1 rows have a y"):
         tuning.random_search(odd, "y", TabularPreprocessor(["x"], ["c"]), draws=1, folds=2)
+
+
+def test_few_files_are_scored_on_all_cores(spark):
+    one = spark.range(100).coalesce(1)
+    wide = models.spread(one)
+    assert wide.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r["id"] for r in wide.collect()) == list(range(100))
+    assert models.spread(wide) is wide
+
+
+def test_the_winner_scores_every_row_once(spark, sf_dir, monkeypatch):
+    best, ranked = learning._search(spark, sf_dir)[:2]
+    assert ranked.count() == 30 and best.stages[-1].getMaxIter() == ranked.orderBy("rank").first()["n_estimators"] == len(best.stages[-1].trees)
+    seen, metrics = [], learning.evaluate.metrics
+    monkeypatch.setattr(learning.evaluate, "metrics", lambda scored: (seen.append(scored), metrics(scored))[1])
+    found = learning.random_search_best(spark, sf_dir).first()
+    assert "UDF" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert seen[0].count() == learning.editions(spark, sf_dir).where(F.col("ano") == learning.TEST).count()
+    assert 0.5 < found["roc_auc"] < 1
